@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup
+from . import decontam, neardup, tokenfiles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,36 @@ def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op3_containment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenfiles.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minmax_near_dedup": op2_minmax_near_dedup,
+    "op3_containment_decontamination": op3_containment_decontamination,
+    "op6_arrow_token_files": op6_arrow_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words as the operators take them: lower-cased A-Z, runs of anything but space and \\t..\\r.
+SHINGLES = """
+  SELECT {id} AS id, w, len(w) AS n FROM (SELECT {id}, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM {table} WHERE text IS NOT NULL)
+"""
+
+OP3 = f"""
+WITH d AS ({SHINGLES.format(id="doc_id", table="documents")}), b AS ({SHINGLES.format(id="item_id", table="benchmark")}),
+ds AS (SELECT DISTINCT id, s FROM (SELECT id, unnest(CASE WHEN n = 0 THEN [] WHEN n < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, n - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM d)),
+bs AS (SELECT DISTINCT id, s FROM (SELECT id, unnest(CASE WHEN n = 0 THEN [] WHEN n < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, n - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM b)),
+bn AS (SELECT id, count(*) AS n_item FROM bs GROUP BY id)
+SELECT ds.id AS doc_id, bs.id AS item_id, max(n_item) AS n_item, count(*) AS n_shared
+FROM ds JOIN bs ON ds.s = bs.s JOIN bn ON bn.id = bs.id GROUP BY 1, 2 HAVING 5 * count(*) >= 4 * max(n_item)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_containment_decontamination": OP3,
+}
