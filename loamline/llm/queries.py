@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, tokenfiles
+from . import chat, decontam, media, neardup, tokenfiles, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +27,27 @@ def op6_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op7_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)).drop("n_packed")
+
+
+def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.texts_as_media(table(spark, sf_dir, "documents"))
+
+
+def op10_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minmax_near_dedup": op2_minmax_near_dedup,
     "op3_containment_decontamination": op3_containment_decontamination,
     "op6_arrow_token_files": op6_arrow_token_files,
+    "op7_prefix_tree_chat": op7_prefix_tree_chat,
+    "op9_iso_media": op9_iso_media,
+    "op10_splittable_warc": op10_splittable_warc,
 }
 
 #: Words as the operators take them: lower-cased A-Z, runs of anything but space and \\t..\\r.
