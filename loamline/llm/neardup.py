@@ -8,11 +8,11 @@ Plan, with no quadratic step inside a bucket and nothing of the corpus on the dr
 
 1. sketch: one pass over the texts gives a set size, a 128-bit fingerprint of the set, band keys and a signature of bytes.
 2. equal sets collapse to the smallest doc_id (partial aggregation), so thousands of copies count once from here on.
-3. each band bucket proposes member-to-pivot pairs (pivot: its smallest id). Each member's best pair is confirmed, and
-   components are taken; pairs that still join different components are confirmed next.
-4. buckets that then hold more than one component are compared in blocks, across components only, by signature; what may
-   reach the threshold is confirmed on full sets. This step has no limit on bucket size: a bucket of m members is dealt
-   out as blocks over many tasks.
+3. each band bucket proposes member-to-pivot pairs (pivot: its smallest id). Of each member's pairs the one met in most bands is
+   confirmed, and components are taken: this settles groups of copies, however large, with one pair a member.
+4. buckets that then hold more than one component are compared in blocks, across components only: by size and signature first,
+   then what may reach the threshold on full sets. A bucket has no size limit, it is dealt out as pairs of blocks over many
+   tasks, and a task gives only as many links as join its components.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from .shared import WordHashes, batched, bounded, components, discard, grouped_r
 
 PERMUTATIONS = 64
 #: Members of a block when a bucket with several components is compared.
-BLOCK = 512
+BLOCK = 2048
 
 
 def banding(similarity: float, miss: float = 1e-6) -> tuple[int, int]:
@@ -127,10 +127,7 @@ def confirmer(num: int, den: int):
             for batch in batches:
                 for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    # Both are ascending and distinct, so the pairs of equal neighbours in the merged array are the intersection.
-                    both = np.concatenate([x, y])
-                    both.sort(kind="stable")
-                    shared = int((both[1:] == both[:-1]).sum())
+                    shared = shared_count(x, y)
                     if den * shared >= num * (len(x) + len(y) - shared):
                         yield a, b
 
@@ -144,29 +141,80 @@ def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(confirmer(num, den), "a long, b long")
 
 
-def comparer(floor: float, num: int, den: int):
-    """Pairs across components between two blocks of one bucket (or inside one) whose sizes and signatures allow the threshold."""
+def likely(row: dict, at: int, block: dict[str, np.ndarray], floor: float, num: int, den: int) -> np.ndarray:
+    """Which members from place `at` of a block may be linked to row: in another component, near enough by size and signature, and with this bucket as the first that both share."""
+    comp, n, sig, bands = (block[c][at:] for c in ("comp", "n", "sig", "bands"))
+    where = np.flatnonzero((comp != row["comp"]) & (den * np.minimum(n, row["n"]) >= num * np.maximum(n, row["n"])))
+    where = where[estimate(sig[where], np.frombuffer(row["sig"], np.uint8)) >= floor]
+    mine = np.array(row["bands"], np.int64)
+    same = bands[where] == mine
+    return at + where[mine[same.argmax(axis=1)] == row["key"]] if len(where) else where
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], list[dict], dict[str, np.ndarray]]]:
+    """Left members, right members and the right ones' columns of each pair of blocks of a bucket, in a stream sorted by key, i and j."""
+    for rows in grouped_rows(batches, ["key", "i", "j"]):
+        left = [r for r in rows if r["blk"] == r["i"]]
+        right = left if rows[0]["i"] == rows[0]["j"] else [r for r in rows if r["blk"] == r["j"]]
+        if left and right:
+            columns = {c: np.array([r[c] for r in right], np.int64) for c in ("comp", "n", "bands")}
+            columns["sig"] = np.frombuffer(b"".join(r["sig"] for r in right), np.uint8).reshape(len(right), -1)
+            yield left, right, columns
+
+
+def parties(floor: float, num: int, den: int):
+    """The members of each pair of blocks that may have a link to another component."""
+    schema = pa.schema([("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        def made():
+            for left, right, columns in blocks_of(batches):
+                ids: set[int] = set()
+                for at, r in enumerate(left):
+                    found = likely(r, at + 1 if left is right else 0, columns, floor, num, den)
+                    if len(found):
+                        ids.add(r["id"])
+                        ids.update(right[x]["id"] for x in found)
+                for x in ids:
+                    yield left[0]["key"], left[0]["i"], left[0]["j"], x
+
+        yield from batched(made(), schema)
+
+    return run
 
+
+def shared_count(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two ascending, distinct arrays: equal neighbours once they are merged."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def linker(floor: float, num: int, den: int):
+    """Links confirmed on full sets between two blocks, as many as it takes to join their components: fewer than members."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
-            for rows in grouped_rows(batches, ["key", "i", "j"]):
-                left = [r for r in rows if r["blk"] == r["i"]]
-                right = left if rows[0]["i"] == rows[0]["j"] else [r for r in rows if r["blk"] == r["j"]]
-                if not right:
-                    continue
-                comp, ids, n = (np.array([r[c] for r in right], np.int64) for c in ("comp", "id", "n"))
-                sig = np.frombuffer(b"".join(r["sig"] for r in right), np.uint8).reshape(len(right), -1)
+            for left, right, columns in blocks_of(batches):
+                root: dict[int, int] = {}
+
+                def find(x: int, root: dict[int, int] = root) -> int:
+                    while x in root:
+                        x = root[x]
+                    return x
+
                 for at, r in enumerate(left):
-                    ok = (comp != r["comp"]) & (den * np.minimum(n, r["n"]) >= num * np.maximum(n, r["n"]))
-                    if left is right:
-                        ok[: at + 1] = False
-                    where = np.flatnonzero(ok)
-                    if len(where):
-                        where = where[estimate(sig[where], np.frombuffer(r["sig"], np.uint8)) >= floor]
-                    for x in where:
-                        yield max(r["id"], int(ids[x])), min(r["id"], int(ids[x]))
+                    mine = np.frombuffer(r["hashes"], np.uint64)
+                    for x in likely(r, at + 1 if left is right else 0, columns, floor, num, den):
+                        other = right[x]
+                        one, two = find(r["comp"]), find(other["comp"])
+                        if one != two:
+                            theirs = np.frombuffer(other["hashes"], np.uint64)
+                            shared = shared_count(mine, theirs)
+                            if den * shared >= num * (len(mine) + len(theirs) - shared):
+                                root[max(one, two)] = min(one, two)
+                                yield max(r["id"], other["id"]), min(r["id"], other["id"])
 
         yield from batched(made(), schema)
 
@@ -181,7 +229,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     no shingle and no link. Equal rows give one row. Rows that share a doc_id count as one document, linked by any of them.
     A null doc_id can't be ranked: such a row comes back with component_id null and is kept. Extra columns are ignored.
     """
-    spark = docs.sparkSession
     similarity = num / den
     bands, rows = banding(similarity)
     floor = slack(similarity)
@@ -198,51 +245,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     members = reps.select(F.explode("bands").alias("key"), "id")
     pivots = members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).filter("pivot < top").select("key", "pivot")
     shared = materialise(members.join(pivots, "key"), "buckets")
-    pairs = shared.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    marks = reps.select("id", "n", "sig")
-    left, right = (marks.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")) for x in "ab")
-
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, na, nb, sa, sb = batch.columns
-            if not len(a):
-                continue
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(a), -1) for c in (sa, sb))
-            na, nb, est = na.to_numpy(), nb.to_numpy(), estimate(x, y)
-            ok = pa.array((den * np.minimum(na, nb) >= num * np.maximum(na, nb)) & (est >= floor))
-            yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok), pa.array(est).filter(ok)], names=["a", "b", "est"])
-
-    rated = materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(rate, "a long, b long, est double"), "pairs")
-    candidates = bounded(materialise(rated.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates"))
-    sets = materialise(texts.join(candidates, "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, hashes binary"), "sets")
-
-    best = rated.groupBy("a").agg(F.max_by("b", F.struct("est", -F.col("b"))).alias("b"))
-    links = materialise(confirmed(best, sets, num, den).union(same_id), "links")
-    roots = components(links)
+    # Each member's best pivot: the one it meets in most bands.
+    pairs = shared.filter("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("met"))
+    best = materialise(pairs.groupBy("a").agg(F.max_by("b", F.struct("met", -F.col("b"))).alias("b")), "pairs")
 
-    def rooted(df: DataFrame, column: str, out: str) -> DataFrame:
-        return df.join(roots.select(F.col("node").alias(column), F.col("root").alias(out)), column, "left").withColumn(out, F.coalesce(out, column))
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """Shingle sets of the documents named: only these texts leave their scan."""
+        ids = bounded(materialise(ids.distinct(), "candidates"))
+        return materialise(texts.join(ids, "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, hashes binary"), "sets")
 
-    across = rooted(rooted(rated, "a", "ra"), "b", "rb").filter("ra <> rb").select("a", "b")
-    more = materialise(confirmed(across, sets, num, den), "links")
-    links = links.union(more)
-    discard(roots)
+    sets = sets_of(best.select(F.explode(F.array("a", "b")).alias("doc_id")))
+    links = materialise(confirmed(best, sets, num, den).union(same_id), "links")
+    discard(sets)
     roots = components(links)
 
     # Buckets that still hold several components: all their pairs across components, in blocks.
-    placed = rooted(shared.select("key", "id"), "id", "comp")
+    placed = shared.select("key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
     open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))
-    dealt = placed.join(open_keys, "key").join(marks, "id").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = placed.join(open_keys, "key").join(reps, "id").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
-    found = dealt.select("key", "i", "j", "blk", "id", "comp", "n", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(comparer(floor, num, den), "a long, b long").distinct()
-    rest = materialise(found, "rest")
+    dealt = dealt.select("key", "i", "j", "blk", "id", "comp", "n", "sig", "bands")
+    among = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    rest = materialise(among(dealt).mapInArrow(parties(floor, num, den), "key long, i long, j long, id long"), "parties")
     if rest.limit(1).count():
-        late = bounded(materialise(rest.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates"))
-        missing = texts.join(late, "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, hashes binary")
-        links = links.union(materialise(confirmed(rest, materialise(missing, "sets"), num, den), "links"))
+        sets = sets_of(rest.select(F.col("id").alias("doc_id"))).select(F.col("doc_id").alias("id"), "hashes").dropDuplicates(["id"])
+        held = dealt.join(rest, ["key", "i", "j", "id"], "left_semi").join(sets, "id")
+        links = links.union(materialise(among(held).mapInArrow(linker(floor, num, den), "a long, b long"), "links"))
         discard(roots)
         roots = components(links)
-    discard(sets, rated)
 
     out = own.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
