@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontam, media, neardup, tokenfiles, warc
+from . import chat, decontam, media, neardup, secrets_scan, tokenfiles, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,12 @@ def op7_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)).drop("n_packed")
 
 
+def op8_automaton_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.secrets(table(spark, sf_dir, "documents"))
+    n = {name: F.get("counts", F.lit(i)) for i, name in enumerate(("n_assign", "n_access", "n_hex", "n_private_key", "n_jwt"))}
+    return found.select("doc_id", *(c.alias(name) for name, c in n.items()), "base_sha256", "spans")
+
+
 def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.texts_as_media(table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_containment_decontamination": op3_containment_decontamination,
     "op6_arrow_token_files": op6_arrow_token_files,
     "op7_prefix_tree_chat": op7_prefix_tree_chat,
+    "op8_automaton_secrets": op8_automaton_secrets,
     "op9_iso_media": op9_iso_media,
     "op10_splittable_warc": op10_splittable_warc,
 }
