@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, media, neardup, secrets_scan, tokenfiles, warc
+from . import chat, decontam, langid, licenses, media, mixing, neardup, secrets_scan, tokenfiles, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
@@ -22,6 +26,20 @@ def op3_containment_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op5_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over raw pages: declared by markup, hosts and suffixes from their addresses, text models from documents."""
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    return langid.identify(table(spark, sf_dir, "pages"), "page_id", "html", "url", None, model=model)
+
+
 def op6_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,8 +67,12 @@ def op10_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_patience_licenses": op1_patience_licenses,
     "op2_minmax_near_dedup": op2_minmax_near_dedup,
     "op3_containment_decontamination": op3_containment_decontamination,
+    "op4_temperature_mixing": op4_temperature_mixing,
+    "op5_language_evidence": op5_language_evidence,
+    "language_of_pages": language_of_pages,
     "op6_arrow_token_files": op6_arrow_token_files,
     "op7_prefix_tree_chat": op7_prefix_tree_chat,
     "op8_automaton_secrets": op8_automaton_secrets,
