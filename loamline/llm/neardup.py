@@ -281,5 +281,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """docs with one document of each group of near-duplicates, the smallest doc_id, in their own columns. Rows with null doc_id stay; repeated rows of a kept doc_id become one."""
     kept = materialise(near_duplicates(docs, k, num, den).filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    known = docs.filter("doc_id is not null")
-    return known.join(bounded(kept), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    out = docs.filter("doc_id is not null").join(bounded(kept), "doc_id", "left_semi").select(*docs.columns)
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id"])  # texts are dealt out by doc_id only where one repeats
+    return out.unionByName(docs.filter("doc_id is null"))
