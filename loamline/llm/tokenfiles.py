@@ -9,6 +9,11 @@ Files are written under a name of their own and moved into place, so repeated or
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -28,34 +33,85 @@ LENGTH = 2048
 SEQUENCES = 64
 
 
+#: The splitting pattern and word end of tokenizers whose pieces are runs of letters, single digits and runs of other signs.
+RUNS_PATTERN, WORD_END = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", "</w>"
+#: In words of Latin-1 letters, digits and ASCII signs but ' and < (which may begin a piece of another kind), RUN finds the pieces; SPECIAL finds what is in other words.
+SPECIAL = re.compile(r"[^ \t\n\rA-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]")
+RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+")
+#: White space to any tokenizer; other kinds stay inside words and are left to it.
+BETWEEN = re.compile(r"[ \t\n\r]")
+
+
 class WordTokens:
-    """Ids of whole texts. Where the tokenizer drops white space and no piece spans it, words are encoded once and kept in a bounded cache."""
+    """Ids of whole texts. Where the tokenizer drops white space and no piece spans it, pieces are encoded once and kept in a bounded cache."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 800_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.of = Tokenizer.from_file(path)
-        self.most, self.kept = most, {}
+        self.most, self.known = most, {}
         self.dtype = np.uint16 if self.of.get_vocab_size() <= 1 << 16 else np.uint32
         ids = lambda s: self.of.encode(s, add_special_tokens=False).ids
-        probes = [("a", "b"), ("don't", "'s"), ("1", "2"), ("!", "?"), ("é", "́x"), ("a.", ".b")]
+        probes = [("a", "b"), ("don't", "'s"), ("1", "2"), ("!", "?"), ("é", "\u0301x"), ("a.", ".b")]
         self.by_word = not ids(" \t\n\r") and all(ids(a + gap + b) == ids(a) + ids(b) for a, b in probes for gap in (" ", "\n", " \t\r\n ")) and all(ids(a + " ") == ids(a) == ids(" " + a) for pair in probes for a in pair)
+        about = json.loads(self.of.to_str())
+        split = ((about.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_run = self.by_word and split.get("pattern") == {"Regex": RUNS_PATTERN} and about["model"].get("end_of_word_suffix") == WORD_END and ids("Ab!") == ids("ab") + ids("!")
+        self.ends = np.zeros(self.of.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.of.get_vocab().items() if t.endswith(WORD_END)]] = True
+
+    def pieces(self, text: str) -> list[str]:
+        """Runs of plain words, and other words whole."""
+        if not self.by_run:
+            return BETWEEN.split(text)
+        hit = SPECIAL.search(text)
+        if hit is None:
+            return RUN.findall(text.lower())
+        out, at = [], 0
+        while hit is not None:
+            start = max(text.rfind(c, at, hit.start()) for c in " \t\n\r") + 1 or at
+            stop = BETWEEN.search(text, hit.end())
+            stop = stop.start() if stop else len(text)
+            out += RUN.findall(text[at:start].lower())
+            out.append(text[start:stop])
+            at = stop
+            hit = SPECIAL.search(text, at)
+        return out + RUN.findall(text[at:].lower())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
             return [np.array(e.ids, self.dtype) for e in self.of.encode_batch_fast(texts, add_special_tokens=False)]
-        out = []
-        for text in texts:
-            # These four are white space to any tokenizer; others stay inside the words and are left to it.
-            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            try:
-                found = b"".join(map(self.kept.__getitem__, words))
-            except KeyError:
-                if len(self.kept) > self.most:
-                    self.kept.clear()
-                new = list({w for w in words if w not in self.kept})
-                self.kept.update(zip(new, (np.array(e.ids, self.dtype).tobytes() for e in self.of.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-                found = b"".join(map(self.kept.__getitem__, words))
-            out.append(np.frombuffer(found, self.dtype))
-        return out
+        split = [self.pieces(t) for t in texts]
+        if len(self.known) > self.most:
+            self.known.clear()
+        new: set[str] = set()
+        for pieces in split:
+            new.update(pieces)
+        self.learn([p for p in new if p not in self.known])
+        found = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(found, pieces)), self.dtype) for pieces in split]
+
+    def learn(self, pieces: list[str]) -> None:
+        plain = [p for p in pieces if not SPECIAL.search(p)] if self.by_run else []
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            ids = np.array(self.of.encode(" ".join(part), add_special_tokens=False).ids, self.dtype)
+            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cut) == len(part) and cut[-1] == len(ids):
+                raw, width = ids.tobytes(), ids.itemsize
+                self.known.update(zip(part, [raw[a * width : b * width] for a, b in zip([0, *cut[:-1]], cut, strict=True)], strict=True))
+            else:
+                pieces = pieces + part
+        for p in pieces:
+            if p not in self.known:
+                self.known[p] = np.array(self.of.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The process's own WordTokens for a tokenizer: a Python worker keeps it from task to task."""
+    store = sys.modules.setdefault("_loamline_tokens", types.ModuleType("_loamline_tokens")).__dict__
+    if path not in store:
+        store[path] = WordTokens(path)
+    return store[path]
 
 
 def sequence_schema(length: int, dtype: type) -> pa.Schema:
@@ -102,7 +158,7 @@ def writer(directory: str, tokenizer: str, end_id: int | None, length: int):
             if not batch.num_rows:
                 continue
             if tokens is None:
-                tokens = WordTokens(tokenizer)
+                tokens = word_tokens(tokenizer)
                 schema = sequence_schema(length, tokens.dtype)
                 files = Put(seq_uri, attempt), Put(doc_uri, attempt)
                 sequences, index = ipc.new_stream(files[0].out, schema), ipc.new_stream(files[1].out, DOCS)
