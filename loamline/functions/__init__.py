@@ -1 +1 @@
-"""Placeholder docs: see module list in README."""
+"""Column functions: missing values, text and names, statistics."""

@@ -1 +1 @@
-"""Placeholder docs: see module list in README."""
+"""Operators: DataFrame to DataFrame."""
