@@ -201,7 +201,8 @@ def write_tokens(docs: DataFrame, directory: str, tokenizer: str, end_id: int |
     of their texts. Extra columns are ignored. An empty table makes no file.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sorted_ = texts.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Ranges are of doc_id alone: their bounds come from a sample sent to the driver, which holds no texts.
+    sorted_ = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     shards = materialise(sorted_.mapInArrow(writer(directory, tokenizer, end_id, length), "shard long, seq_uri string, doc_uri string, n_docs long, n_tokens long, n_sequences long"), "shards")
     # One row for each file: a window without a key is small.
     return shards.withColumn("start", F.coalesce(F.sum("n_tokens").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")))
