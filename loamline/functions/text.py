@@ -45,7 +45,7 @@ def looked_up(key: Column, table: dict, other: Column) -> Column:
 
 def scene_parts(name: Column) -> dict[str, Column]:
     """date (NULL if it is none), time, level and product of a scene's folder name; all NULL where the name is another."""
-    date = F.try_to_date(found(name, SCENE_PATTERN, 1), F.lit("yyyyMMdd"))
+    date = F.try_to_date(found(name, SCENE_PATTERN, 1), "yyyyMMdd")
     ok = date.isNotNull()
     part = lambda i: F.when(ok, F.upper(found(name, SCENE_PATTERN, i)))
     return {"date": date, "time": part(2), "level": part(3), "product": part(4)}

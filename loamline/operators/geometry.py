@@ -63,7 +63,7 @@ def points(geometry: Column) -> Column:
 
 def bounds(geometry: Column) -> dict[str, Column]:
     """xmin, ymin, xmax and ymax."""
-    xs, ys = (F.transform(points(geometry), lambda p, c=c: p[c]) for c in "xy")
+    xs, ys = F.transform(points(geometry), lambda p: p["x"]), F.transform(points(geometry), lambda p: p["y"])
     return {"xmin": F.array_min(xs), "ymin": F.array_min(ys), "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
 
 
@@ -200,9 +200,12 @@ def projected_bounds(b: dict[str, Column], source: int, target: int, n: int = 21
     """Bounds of a box's projected outline, each side divided by n points."""
     to = projector(source, target)
     steps_ = F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: i / F.lit(float(n)))
-    xs, ys = (F.transform(steps_, lambda t, c=c: b[f"{c}min"] + (b[f"{c}max"] - b[f"{c}min"]) * t) for c in "xy")
+    along = lambda c: F.transform(steps_, lambda t: b[f"{c}min"] + (b[f"{c}max"] - b[f"{c}min"]) * t)
+    xs, ys = along("x"), along("y")
     at = lambda x, y: F.struct(*[v.alias(n) for n, v in zip("xy", to(x, y), strict=True)])
-    rim = F.concat(*[F.transform(xs, lambda x, y=y: at(x, y)) for y in (b["ymin"], b["ymax"])], *[F.transform(ys, lambda y, x=x: at(x, y)) for x in (b["xmin"], b["xmax"])])
+    level = lambda y: F.transform(xs, lambda x: at(x, y))
+    upright = lambda x: F.transform(ys, lambda y: at(x, y))
+    rim = F.concat(level(b["ymin"]), level(b["ymax"]), upright(b["xmin"]), upright(b["xmax"]))
     return {"xmin": F.array_min(F.transform(rim, lambda p: p["x"])), "ymin": F.array_min(F.transform(rim, lambda p: p["y"])), "xmax": F.array_max(F.transform(rim, lambda p: p["x"])), "ymax": F.array_max(F.transform(rim, lambda p: p["y"]))}
 
 

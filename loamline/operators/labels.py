@@ -34,7 +34,7 @@ def with_rules(df: DataFrame, settings: dict | None = None) -> DataFrame:
     shares = [c for c in READY_FEATURES if has(c)]
     for c in shares:
         wanted |= {f"hi_{c}": (F.col(c), q), f"lo_{c}": (F.col(c), s["negative_current_quantile"])}
-    for c, side in (("delta_ndvi_mean", 1 - q), ("delta_ndwi_mean", q)):
+    for c, side in (("delta_ndvi_mean", round(1 - q, 12)), ("delta_ndwi_mean", q)):  # 1 - 0.8 would miss 0.2 by its last bits
         if has(c):
             wanted |= {f"hi_{c}": (F.col(c), side), f"abs_{c}": (F.abs(F.col(c)), s["negative_abs_delta_quantile"])}
     if has("roll2__change_share"):
