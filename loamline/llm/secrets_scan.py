@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batched, mixed
+from .shared import batched, mixed, small_batches
 
 
 @dataclass(frozen=True)
@@ -112,15 +112,13 @@ class Parser:
 
             copies = [(x, y)] + [again() for _ in range(max(low, high or 0, 1) - 1)] + ([again()] if high is None and low else [])
             self.at = resume
-            for i, (x, y) in enumerate(copies):
+            for i, (x, y) in enumerate(copies if high != 0 else []):
                 self.nfa.skips[b].append(x)
                 if i >= low:  # may be left out
                     self.nfa.skips[x].append(y)
                 if high is None and i == len(copies) - 1:  # may come again
                     self.nfa.skips[y].append(x)
                 b = y
-            if high == 0:
-                self.nfa.skips[a].append(b)
         return a, b
 
     def times(self) -> tuple[int, int | None]:
@@ -382,5 +380,5 @@ def secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = 3) ->
     counts has a number for each rule; base_sha256 is the digest of the spans of the first `base` rules. Repeated rows stay, a null
     doc_id stays null, extra columns are ignored, an empty table gives no rows. Text is read once, whatever the rules; nothing is shuffled.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(scanner(compiled(rules), base), "doc_id long, counts array<long>, base_sha256 string, spans string")
