@@ -17,6 +17,8 @@ def zone_aggregates(x: Column, prefix: str) -> list[Column]:
 
 def with_group_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
     """df with a column for each wanted (expression, quantile), by group: one aggregation, joined back; a null key has no group, so its quantiles are NULL."""
+    if not wanted:
+        return df
     picked = df.select(*keys, *[e.alias(f"_{n}") for n, (e, _) in wanted.items()])
     table = picked.dropna(subset=keys).groupBy(*keys).agg(*[F.percentile(F.col(f"_{n}"), F.lit(q)).alias(n) for n, (_, q) in wanted.items()])
     return df.join(table, keys, "left")

@@ -129,7 +129,7 @@ def dissolved(df: DataFrame, keys: list[str], geometry: str = "geometry") -> Dat
 
 def numbered(df: DataFrame, order: list[str], name: str = "parcel_id") -> DataFrame:
     """df with ids from 1 in a total order: rows are ranged over partitions and counted, so no one task sorts them all."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    inside = parts.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy("_at")))
-    before = inside.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return inside.join(before.select("_part", "_before"), "_part").withColumn(name, (F.col("_before") + F.col("_n")).cast("long")).drop("_part", "_at", "_n", "_before")
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_numbered_part": F.spark_partition_id(), "_numbered_at": F.monotonically_increasing_id()})
+    inside = parts.withColumn("_numbered_n", F.row_number().over(W.partitionBy("_numbered_part").orderBy("_numbered_at")))
+    before = inside.groupBy("_numbered_part").agg(F.count("*").alias("_numbered_c")).withColumn("_numbered_before", F.coalesce(F.sum("_numbered_c").over(W.orderBy("_numbered_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    return inside.join(before.select("_numbered_part", "_numbered_before"), "_numbered_part").withColumn(name, (F.col("_numbered_before") + F.col("_numbered_n")).cast("long")).drop("_numbered_part", "_numbered_at", "_numbered_n", "_numbered_before")

@@ -165,7 +165,7 @@ def quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.quantised(pixels(spark, sf_dir), [], "nir").select(*[F.col(c).cast("long").alias(c) for c in ("row", "col", "level")])
 
 
-@query(f"""WITH {PX}, k AS (SELECT *, CAST(round_even(least(greatest((nir + 0.3) / 0.6, 0.0), 1.0) * 10, 0) AS BIGINT) AS i FROM px) SELECT CAST("row" AS BIGINT) AS "row", CAST(col AS BIGINT) AS col, coalesce(i * 25, 0) AS r, coalesce(255 - i * 25, 0) AS g, coalesce(i * i, 0) AS b, CAST(CASE WHEN i IS NULL THEN 0 ELSE 255 END AS BIGINT) AS alpha FROM k""")
+@query(f"""WITH {PX}, k AS (SELECT *, CASE WHEN nir IS NOT NULL THEN CAST(round_even(least(greatest((nir + 0.3) / 0.6, 0.0), 1.0) * 10, 0) AS BIGINT) END AS i FROM px) SELECT CAST("row" AS BIGINT) AS "row", CAST(col AS BIGINT) AS col, coalesce(i * 25, 0) AS r, coalesce(255 - i * 25, 0) AS g, coalesce(i * i, 0) AS b, CAST(CASE WHEN i IS NULL THEN 0 ELSE 255 END AS BIGINT) AS alpha FROM k""")
 def colorize(spark: SparkSession, sf_dir: str) -> DataFrame:
     palette = spark.range(11).select(F.col("id").cast("int").alias("idx")).select("idx", (F.col("idx") * 25).alias("r"), (255 - F.col("idx") * 25).alias("g"), (F.col("idx") * F.col("idx")).alias("b"))
     return raster.colours(pixels(spark, sf_dir), "nir", palette, 11, -0.3, 0.3).select(*[F.col(c).cast("long").alias(c) for c in ("row", "col", "r", "g", "b", "alpha")])

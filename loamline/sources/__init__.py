@@ -1 +1 @@
-"""Placeholder docs: see module list in README."""
+"""Sources and sinks: file listings, tables, GeoTIFF, GeoJSON, shapefiles, GeoPackage, archives."""

@@ -1 +1 @@
-"""Placeholder docs: see module list in README."""
+"""Incremental runs: scenes or events that arrive over time, by Structured Streaming."""
