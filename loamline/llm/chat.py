@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batched, materialise
+from .shared import batched, materialise, small_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: A conversation is cut into segments of so many turns or characters at most (one longer turn makes a segment of its own).
@@ -162,7 +162,7 @@ def chat_packs(rows: DataFrame) -> DataFrame:
     Turns come in the order of turn, then role and text where that ties; null turns first. A null role or text is empty; rows with
     a null conv_id make one conversation; repeated rows are turns of their own. Extra columns are ignored; no rows, no packs.
     """
-    own = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    own = small_batches(rows).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     segments = own.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(assemble, "conv_id long, seg long, path string, offset long, more boolean, turns array<struct<role: string, text: string>>")
     return segments.repartitionByRange("path", "conv_id", "seg").sortWithinPartitions("path", "conv_id", "seg").mapInArrow(pack_up, PACKS_DDL)
 

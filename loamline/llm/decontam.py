@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .neardup import multipliers
-from .shared import WordHashes, batched, bounded, materialise, shingle_stream, words_of
+from .shared import WordHashes, batched, bounded, materialise, shingle_stream, small_batches, words_of
 
 PERMUTATIONS = 64
 #: Bits of a key that pick its place in the map of keys there are.
@@ -174,7 +174,7 @@ def contaminations(docs: DataFrame, items: DataFrame, k: int = 5, num: int = 4,
     pairs once. A null doc_id or item_id is returned as null. Items whose shingles all told are within broadcast_shingles go to
     the tasks with one pass over the texts and no shuffle; larger benchmarks are joined on signature keys.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item")).filter("item is not null").distinct()
     total = items.agg(F.sum(F.length("item"))).first()[0] or 0  # a shingle takes two characters at least
     returns = "doc_id long, item_id long, n_item long, n_shared long"

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded, materialise
+from .shared import bounded, materialise, small_batches
 
 #: Slots of the trigram tables, and bytes scored at a time.
 SLOTS, PIECE = 1 << 16, 1 << 20
@@ -144,7 +144,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text", host: Column |
     k = len(model.languages)
     names = F.array(*[F.lit(x) for x in model.languages])
     where = F.coalesce(host_of(host.cast("string")), F.lit("")) if host is not None else F.lit("")
-    seen = docs.withColumns({"_s": scored(model, F.col(text).cast("string"), (declared if declared is not None else F.lit(None)).cast("string")), "_host": where})
+    seen = small_batches(docs).withColumns({"_s": scored(model, F.col(text).cast("string"), (declared if declared is not None else F.lit(None)).cast("string")), "_host": where})
     best = F.when(F.col("_s.n") > 0, argmax(F.col("_s.ll")))
     stats = seen.select(F.col("_host").alias("host"), suffix_of(F.col("_host")).alias("suffix"), F.col("_s.declared").alias("declared"), best.alias("best")).groupBy("host", "suffix", "declared", "best").agg(F.count("*").alias("n"))
     stats = materialise(stats.filter("best is not null"), "language-counts")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batched
+from .shared import batched, small_batches
 
 WORD = re.compile(r"[^\W_]+(?:[-.'][^\W_]+)*")
 #: Words that occur in any prose and so don't vote for where a template begins.
@@ -189,5 +189,5 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
     earlier start, the earlier template). A text without finds, empty or null gives no row; repeated rows give theirs each; a null doc_id
     stays null; extra columns are ignored. Texts are read once and nothing is shuffled.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(scanner(templates or TEMPLATES, coverage), "doc_id long, license string, start long, end long, n_matched long, n_template long")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batched, materialise
+from .shared import batched, materialise, small_batches
 
 #: Boxes that hold boxes.
 NESTS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta", b"mvex"}
@@ -222,7 +222,7 @@ def wrapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def store_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): each whole text (null: empty) as a container. Repeated rows stay, a null doc_id stays null, extra columns are ignored."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(wrapper, "doc_id long, n_bytes long, media binary")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(wrapper, "doc_id long, n_bytes long, media binary")
 
 
 FEATURES = pa.schema([("codec", pa.string()), ("handler", pa.string()), ("timescale", pa.int64()), ("duration", pa.int64()), ("n_samples", pa.int64()), ("n_keyframes", pa.int64()), ("keyframes", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("error", pa.string())])
@@ -239,7 +239,7 @@ def media_features(table: DataFrame, column: str = "media") -> DataFrame:
         rows = [describe(m) for m in media]
         return pd.DataFrame([r | {"keyframes": None if r["keyframes"] is None else [{"start": a, "end": b} for a, b in r["keyframes"]]} for r in rows], columns=FEATURES.names).astype({n: "Int64" for n in ("timescale", "duration", "n_samples", "n_keyframes")})
 
-    return table.withColumn("features", of(F.col(column)))
+    return small_batches(table).withColumn("features", of(F.col(column)))
 
 
 READ = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordHashes, batched, bounded, components, discard, grouped_rows, materialise, mixed, shingle_set, words_of
+from .shared import WordHashes, batched, bounded, components, discard, grouped_rows, materialise, mixed, shingle_set, small_batches, words_of
 
 PERMUTATIONS = 64
 #: Members of a block when a bucket with several components is compared.
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     similarity = num / den
     bands, rows = banding(similarity)
     floor = slack(similarity)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = materialise(texts.mapInArrow(sketcher(k, bands, rows), "doc_id long, n long, cls binary, sig binary, bands array<long>"), "sketch")
     known = sketch.filter("doc_id is not null and n > 0")
     classes = materialise(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")

@@ -62,6 +62,18 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Rows of an Arrow batch between Spark and Python where whole texts pass: Spark's 10,000 would hold gigabytes of long ones.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df; from here on its session sends at most BATCH_ROWS rows in an Arrow batch."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 # ---------------------------------------------------------------- words and hashes
 
 

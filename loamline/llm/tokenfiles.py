@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import batched, materialise, new_dir, opened
+from .shared import batched, materialise, new_dir, opened, small_batches
 
 LENGTH = 2048
 #: Sequences in a batch.
@@ -200,7 +200,7 @@ def write_tokens(docs: DataFrame, directory: str, tokenizer: str, end_id: int |
     A null text is empty, a null doc_id sorts first, repeated rows are written as often as they come, equal doc_ids in order
     of their texts. Extra columns are ignored. An empty table makes no file.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Ranges are of doc_id alone: their bounds come from a sample sent to the driver, which holds no texts.
     sorted_ = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     shards = materialise(sorted_.mapInArrow(writer(directory, tokenizer, end_id, length), "shard long, seq_uri string, doc_uri string, n_docs long, n_tokens long, n_sequences long"), "shards")

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, batched, materialise, new_dir, opened
+from .shared import BROADCAST_ROWS, batched, materialise, new_dir, opened, small_batches
 from .tokenfiles import Put
 
 MAGIC = b"\x1f\x8b\x08"
@@ -87,7 +87,7 @@ def write_warc(pages: DataFrame, directory: str, least: int = 0) -> DataFrame:
     and the others revisit it; rows that share that page_id are all responses, and so are those without page_id. Extra columns
     are ignored, repeated rows are written as often as they come, an empty table makes no archive.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = rows.withColumn("sha", F.sha1("html"))
     firsts = keyed.filter(F.octet_length("html") >= least).groupBy("sha").agg(F.max("page_id").alias("first"), F.min("page_id").alias("low")).filter("low < first").select("sha", "first")
     firsts = materialise(firsts, "payloads")
