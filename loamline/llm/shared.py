@@ -83,10 +83,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hash of each word seen; emptied when it holds a million, so memory stays bounded."""
+    """64-bit hash of each word seen; emptied when it holds many, so memory stays bounded."""
+
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > self.most:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -150,6 +152,7 @@ def batched(rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 2000, mos
             held, weight = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+    pa.default_memory_pool().release_unused()  # a worker goes on to other tasks
 
 
 # ---------------------------------------------------------------- graph components
