@@ -251,7 +251,7 @@ def join_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def read_chats(packs: DataFrame) -> DataFrame:
     """Each conversation from written packs: its turns and what its loss mask covers, as digests, and the length of its formatted text."""
-    rows = materialise(packs.mapInArrow(unpack, READ_DDL), "chats")
+    rows = materialise(packs.mapInArrow(unpack, READ_DDL), "chats", "zstd")
     whole = rows.filter("seg = 0 and not more")
     longer = rows.filter("seg > 0 or more").repartition("conv_id").sortWithinPartitions("conv_id", "seg").mapInArrow(join_segments, READ_DDL)
     return whole.unionByName(longer).drop("seg", "more", "all_turns", "all_loss")
@@ -259,4 +259,4 @@ def read_chats(packs: DataFrame) -> DataFrame:
 
 def format_chats(rows: DataFrame) -> DataFrame:
     """Writes the packs of all conversations to the shared folder and reads them back; see chat_packs for unusual rows."""
-    return read_chats(materialise(chat_packs(rows), "packs"))
+    return read_chats(materialise(chat_packs(rows), "packs", "zstd"))

@@ -260,5 +260,5 @@ def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def texts_as_media(docs: DataFrame) -> DataFrame:
     """Stores each text as a container in a table of the shared folder, reads that back and tells what the stored bytes hold."""
-    stored = materialise(store_texts(docs), "media")
+    stored = materialise(store_texts(docs), "media", "zstd")
     return stored.mapInArrow(read_back, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

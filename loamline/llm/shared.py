@@ -35,10 +35,13 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, and what was computed survives lost executors."""
+def materialise(df: DataFrame, label: str, codec: str = "uncompressed") -> DataFrame:
+    """Writes df to the shared folder and reads it back: cuts lineage, and what was computed survives lost executors.
+
+    Hashes and ids don't compress, and compressors take memory outside the heap; tables of texts are written with codec "zstd".
+    """
     spark, path = df.sparkSession, new_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._loamline_path = path
     return out
