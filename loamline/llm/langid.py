@@ -147,7 +147,8 @@ def identified(docs: DataFrame, model: Model, text: str = "text", host: Column |
     seen = small_batches(docs).withColumns({"_s": scored(model, F.col(text).cast("string"), (declared if declared is not None else F.lit(None)).cast("string")), "_host": where})
     best = F.when(F.col("_s.n") > 0, argmax(F.col("_s.ll")))
     stats = seen.select(F.col("_host").alias("host"), suffix_of(F.col("_host")).alias("suffix"), F.col("_s.declared").alias("declared"), best.alias("best")).groupBy("host", "suffix", "declared", "best").agg(F.count("*").alias("n"))
-    stats = materialise(stats.filter("best is not null"), "language-counts")
+    # Filtered once it is written: a filter on what the model says would be pushed below the counts, and the model run twice.
+    stats = materialise(stats, "language-counts").filter("best is not null")
     hosts, overall, said = priors(stats, k)
     right = F.transform(F.col("counts"), lambda x: (x["c"] + F.lit(STRENGTH) * F.when(F.col("declared") == F.get(names, x["i"].cast("int")), F.lit(0.9)).otherwise(F.lit(0.1 / max(1, k - 1)))) / (F.get(F.col("sizes"), x["i"].cast("int")) + F.lit(STRENGTH)))
     said = bounded(materialise(said.select("declared", F.transform(right, F.ln).alias("told")), "declared"))
