@@ -24,6 +24,9 @@ EXCLUDE = r"(?iU)садов|огород|дач|жил|дом|ижс|улиц|д
 STRICT_KEEP = r"(?iU)\bпашн\w*\b|\bпастбищ\w*\b|\bсенокос\w*\b|\bсенокош\w*\b|сельскохозяйственн\w*\s+использован|сельскохозяйственн\w*\s+производств|сельхозпроизводств|сельскохозяйственн\w*\s+угод|полев\w*\s+участ"
 STRICT_DROP = r"(?iU)кфх|фермер|животновод|скотовод|коневод|оленевод|сайылык|личн\w*\s+подсобн\w*\s+хозяйств(?!.*полев\w*\s+участ)|\bлпх\b(?!.*полев\w*\s+участ)|под\s+личное\s+подсобное\s+хозяйство(?!.*полев)|под\s+сельскохозяйственные\s+объекты|фонд\s+перераспределен"
 USAGE_CODE = "003001000000"
+# Folders that name a product, and what tells an archive's area (with order numbers).
+PRODUCT_FOLDERS = ["MS", "PAN", "PMS", "SCN01", "SCN02"]
+ARCHIVE_SIGNS = {"amga": ["амга", "3926868"], "yunkor": ["юнкор", "юнк", "3927029"]}
 
 
 def nonblank(x: Column) -> Column:
@@ -108,12 +111,23 @@ def scene_score(product: Column, level: Column) -> Column:
 
 
 def scene_id(source: Column, footprint: Column) -> Column:
-    """Stem of the footprint's file without .gbd; if it is a common word, the deepest part of the source path that names a scene."""
-    stem = F.regexp_replace(F.regexp_replace(F.element_at(F.split(footprint, r"[/\\]"), -1), r"\.[^.]*$", ""), r"(?i)\.gbd$", "")
-    parts = F.reverse(F.split(F.regexp_replace(source, r"(?i)\.zip$", ""), r"[/\\]"))
-    named = F.get(F.filter(parts, lambda p: p.rlike(r"(?i)KANOPUS|^102_")), F.lit(0))
-    common = F.lower(stem).isin("gbd", "footprint", "frame", "scene", "shape", "contour")
-    return F.when(common, F.coalesce(named, stem)).otherwise(stem)
+    """Name of a scene's archive or folder without .zip and .gbd; where that only names a product, the deepest part of the footprint's path that names a scene, without its extension."""
+    name = F.regexp_replace(F.regexp_replace(F.element_at(F.split(source, r"[/\\]"), -1), r"(?i)\.zip$", ""), r"(?i)\.gbd$", "")
+    parts = F.reverse(F.split(footprint, r"[/\\]"))
+    scene = F.get(F.filter(parts, lambda p: F.upper(p).startswith("KANOPUS") | p.startswith("102_")), F.lit(0))
+    return F.when(name.isin(PRODUCT_FOLDERS), F.coalesce(F.regexp_replace(scene, r"(?<=.)\.[^.]*$", ""), name)).otherwise(name)
+
+
+def archive_area(name: Column) -> Column:
+    """Area of a scene archive by its name or order number; else the name itself without .zip."""
+    low = F.lower(name)
+    out = F.regexp_replace(low, r"(?<=.)\.[^.]*$", "")
+    for slug, signs in reversed(ARCHIVE_SIGNS.items()):
+        found_ = F.lit(False)
+        for s in signs:
+            found_ = found_ | low.contains(s)
+        out = F.when(found_, slug).otherwise(out)
+    return out
 
 
 def plain_name(x: Column) -> Column:

@@ -64,3 +64,20 @@ def shallow_dirs(footprints: DataFrame, path: str = "path", deepest: bool = True
     above = dirs.filter(F.size(levels) > 1).select("dir", F.explode(F.sequence(F.lit(1), F.size(levels) - 1)).alias("n")).select(F.col("dir").alias("below"), F.array_join(F.slice(levels, 1, F.col("n")), "/").alias("dir"))
     pairs = above.join(dirs, "dir")
     return dirs.join(pairs.select("dir").distinct() if deepest else pairs.select(F.col("below").alias("dir")).distinct(), "dir", "left_anti")
+
+
+def reference_scene(rasters: DataFrame, keys: list[str], order: str = "path") -> DataFrame:
+    """For each group the raster with the finest cells (the smaller of both sizes), the first in order on ties."""
+    cell = F.least(F.abs("a"), F.abs("e"))
+    return rasters.groupBy(*keys).agg(F.min_by(F.struct(order, "a", "e"), F.struct(cell, F.col(order))).alias("_r")).select(*keys, "_r.*")
+
+
+def reference_grid(bounds: DataFrame, cell: str = "cell") -> DataFrame:
+    """bounds (xmin, ymin, xmax, ymax, cell) with the width and height of the grid that covers them, one cell at least."""
+    cells = lambda c: F.greatest(F.lit(1), F.ceil((F.col(f"{c}max") - F.col(f"{c}min")) / F.col(cell)).cast("int"))
+    return bounds.withColumns({"width": cells("x"), "height": cells("y")})
+
+
+def first_footprints(footprints: DataFrame, prefer: str = "dir") -> DataFrame:
+    """One footprint for each scene_id: of the preferred kind (source_type) if there is one, then the first path."""
+    return top_per_group(footprints, ["scene_id"], [F.when(F.col("source_type") == prefer, 0).otherwise(1), F.col("source_path"), F.col("gbd_path")])

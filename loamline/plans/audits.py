@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit
+from ..operators import audit, scenes
 from .tables import PX, pixels, table
 
 QUERIES, ORACLES = {}, {}
@@ -110,3 +110,36 @@ def set_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select((F.array_sort(F.array_except(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.array(F.lit("b")))) == F.array(F.lit("a"), F.lit("c"))).alias("ok"))
 
 
+
+
+@query("SELECT concat('aoi/', CASE WHEN count(*) FILTER (n_nationkey % 5 = 2) > 0 THEN 'aoi_union_' ELSE 'x_' END, lpad(CAST(min(n_nationkey) FILTER (n_nationkey % 5 = 2) AS VARCHAR), 3, '0'), '.gpkg') AS relpath FROM nation")
+def preferred_aoi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.lpad(F.col("n_nationkey").cast("string"), 3, "0")
+    name = F.when(F.col("n_nationkey") % 5 == 2, F.concat(F.lit("aoi/aoi_union_"), k)).when(F.col("n_nationkey") % 5 == 1, F.concat(F.lit("aoi/scene_footprints_"), k)).otherwise(F.concat(F.lit("aoi/a_"), k))
+    return audit.preferred_aoi(table(spark, sf_dir, "nation").select(F.concat(name, F.lit(".gpkg")).alias("relpath")))
+
+
+@query("SELECT CAST(p_size AS BIGINT) AS grp, arg_min(p_partkey, (least(p_size % 5 + p_partkey % 3 + 1, p_partkey % 4 + 1), p_partkey)) AS path FROM part GROUP BY 1")
+def reference_scene(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("grp"), F.col("p_partkey").alias("path"), (F.col("p_size") % 5 + F.col("p_partkey") % 3 + 1).cast("double").alias("a"), (-(F.col("p_partkey") % 4 + 1)).cast("double").alias("e"))
+    return scenes.reference_scene(rows, ["grp"]).select("grp", "path")
+
+
+@query("SELECT s_suppkey, CAST(greatest(1, ceil((s_suppkey % 50) / 2.5)) AS BIGINT) AS width, CAST(greatest(1, ceil((s_suppkey % 7) / 2.5)) AS BIGINT) AS height FROM supplier")
+def reference_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.lit(10.0).alias("xmin"), F.lit(5.0).alias("ymin"), (10.0 + F.col("s_suppkey") % 50).alias("xmax"), (5.0 + F.col("s_suppkey") % 7).alias("ymax"), F.lit(2.5).alias("cell"))
+    return scenes.reference_grid(rows).select("s_suppkey", F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"))
+
+
+@query("SELECT o_custkey AS scene_id, o_orderkey AS source_path FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, o_orderkey) = 1")
+def first_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("scene_id"), F.when(F.col("o_orderstatus") == "F", "dir").otherwise("zip").alias("source_type"), F.col("o_orderkey").alias("source_path"), F.lit("").alias("gbd_path"))
+    return scenes.first_footprints(rows).select("scene_id", "source_path")
+
+
+@query("SELECT l_orderkey % 1000 AS grp, count(DISTINCT l_linestatus) > 1 OR list_contains(list(l_returnflag), 'R') AS some, NOT list_contains(list(l_returnflag), 'R') AS within FROM lineitem GROUP BY 1")
+def set_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap of a group's values with a set, and whether they are a subset of one."""
+    have = F.collect_set("l_returnflag")
+    out = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 1000).alias("grp")).agg(have.alias("have"), F.count_distinct("l_linestatus").alias("n"))
+    return out.select("grp", ((F.col("n") > 1) | F.arrays_overlap("have", F.array(F.lit("R")))).alias("some"), (F.size(F.array_except("have", F.array(F.lit("A"), F.lit("N")))) == 0).alias("within"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nulls, text
 from ..operators import scenes
+from ..sources import files
 from .tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -146,3 +147,33 @@ def footprint_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").filter("l_orderkey % 4 <> 3 or l_linenumber % 2 <> 0")
     path = F.concat(F.lit("r/"), (F.col("l_orderkey") % 4).cast("string"), F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("/"), (F.col("l_orderkey") % 3).cast("string"))).otherwise(""), F.lit("/x.GBD.shp"))
     return scenes.shallow_dirs(rows.select(path.alias("path")).distinct())
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN concat('KANOPUS_', CAST(o_orderkey AS VARCHAR), '.L2') WHEN 1 THEN concat('KANOPUS_x_', CAST(o_custkey AS VARCHAR)) ELSE '102_y' END AS scene_id FROM orders""")
+def scene_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    source = F.when(key % 3 == 0, "root/MS").when(key % 3 == 1, F.concat(F.lit("root/KANOPUS_x_"), F.col("o_custkey").cast("string"), F.lit(".zip"))).otherwise("root/102_y.GBD")
+    footprint = F.concat(F.lit("root/102_a/kanopus_0/KANOPUS_"), key.cast("string"), F.lit(".L2.MS/MS/f.GBD.shp"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.scene_id(source, footprint).alias("scene_id"))
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'amga' WHEN 1 THEN 'yunkor' WHEN 2 THEN 'yunkor' ELSE lower(n_name) END AS area FROM nation""")
+def archive_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey") % 4
+    name = F.when(k == 0, "Заказ_3926868_x.zip").when(k == 1, "ЮНКОР.zip").when(k == 2, "a-3927029.ZIP").otherwise(F.concat(F.col("n_name"), F.lit(".zip")))
+    return table(spark, sf_dir, "nation").select("n_nationkey", text.archive_area(name).alias("area"))
+
+
+@query("""SELECT concat('x/riskscore_amga_2021_', lpad(CAST(min(p_partkey) FILTER (p_partkey % 7 = 3) AS VARCHAR), 9, '0'), '.tif') AS path FROM part""")
+def template_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-fitting template by name: the highest score, then the shortest path."""
+    k = F.lpad(F.col("p_partkey").cast("string"), 9, "0")
+    path = F.when(F.col("p_partkey") % 7 == 3, F.concat(F.lit("x/riskscore_amga_2021_"), k)).when(F.col("p_partkey") % 7 == 1, F.concat(F.lit("x/risk_2021_"), k)).otherwise(F.concat(F.lit("x/ndvi_2020_"), k))
+    listed = table(spark, sf_dir, "part").select(F.concat(path, F.lit(".tif")).alias("path"))
+    return files.template_raster(listed, "amga", 2021).select("path")
+
+
+@query("SELECT doc_id, round(least(greatest(p, 1e-6), 1 - 1e-6), 9) AS clipped, round(ln(1 + greatest(p * 100, 0)), 9) AS logged FROM (SELECT doc_id, CAST(n_chars % 13 AS DOUBLE) / 10 - 0.1 AS p FROM documents)")
+def clipped_and_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.pmod("n_chars", F.lit(13)).cast("double") / 10 - 0.1
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(nulls.clipped_probability(p), 9).alias("clipped"), F.round(nulls.log_area(p * 100), 9).alias("logged"))
