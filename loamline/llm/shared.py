@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,17 +24,30 @@ BROADCAST_ROWS = 1_000_000
 
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local runs)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or getattr(sc, "_loamline_dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="loamline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = sc._loamline_dir = "file://" + tempfile.mkdtemp(prefix="loamline-")
     return base.rstrip("/") + "/loamline"
 
 
+#: Folders that this process made; they go when it ends, as results are read from them until then.
+MADE: list[str] = []
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    MADE.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return MADE[-1]
+
+
+@atexit.register
+def tidy() -> None:
+    for uri in MADE:
+        with contextlib.suppress(Exception):  # gone already, or in a store that only Spark reaches
+            fs, path = opened(uri)
+            fs.delete_dir(path)
 
 
 def materialise(df: DataFrame, label: str, codec: str = "uncompressed") -> DataFrame:
