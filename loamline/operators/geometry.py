@@ -273,6 +273,44 @@ def overlay(shapes: list[Shape], keep) -> Shape:
     return out
 
 
+def convex_ring(shape: Shape) -> list[tuple[float, float]] | None:
+    """The only ring of a shape, counter-clockwise and open, if it is convex."""
+    if len(shape) != 1 or len(shape[0]) != 1:
+        return None
+    ring = shape[0][0][:-1] if shape[0][0][0] == shape[0][0][-1] else shape[0][0]
+    turns = [(b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0]) for a, b, c in zip(ring, ring[1:] + ring[:1], ring[2:] + ring[:2], strict=True)]
+    # Turns of one sign wind once only if they also go up and down once.
+    rises = [b[1] > a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True) if a[1] != b[1]]
+    once = sum(p != q for p, q in zip(rises, rises[1:] + rises[:1], strict=True)) == 2
+    if not once or not (all(t >= 0 for t in turns) or all(t <= 0 for t in turns)):
+        return None
+    return ring if any(t > 0 for t in turns) else ring[::-1]
+
+
+def convex_intersection(a: list[tuple[float, float]], b: list[tuple[float, float]]) -> Shape:
+    """What two convex rings share: a cut by each side of b."""
+    for p, q in zip(b, b[1:] + b[:1], strict=True):
+        side = [(q[0] - p[0]) * (y - p[1]) - (q[1] - p[1]) * (x - p[0]) for x, y in a]
+        out = []
+        for i, (s, t) in enumerate(zip(side, side[1:] + side[:1], strict=True)):
+            (x0, y0), (x1, y1) = a[i], a[(i + 1) % len(a)]
+            if s >= 0:
+                out.append((x0, y0))
+            if (s > 0 > t) or (s < 0 < t):
+                k = s / (s - t)
+                out.append((x0 + k * (x1 - x0), y0 + k * (y1 - y0)))
+        a = out
+        if len(a) < 3:
+            return []
+    flat = abs(sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(a, a[1:] + a[:1], strict=True))) == 0
+    return [] if flat else [[[*a, a[0]]]]
+
+
+def shared_part(x: Shape, y: Shape) -> Shape:
+    a, b = convex_ring(x), convex_ring(y)
+    return convex_intersection(a, b) if a and b else overlay([x, y], all)
+
+
 def shape_of(value) -> Shape:
     return [[[(p["x"], p["y"]) for p in ring] for ring in polygon if len(ring) > 2] for polygon in value] if value is not None else []
 
@@ -284,7 +322,7 @@ def value_of(shape: Shape):
 @F.pandas_udf(MULTI)
 def intersection(a: pd.Series, b: pd.Series) -> pd.Series:
     """What two geometries share; empty if nothing."""
-    return pd.Series([value_of(overlay([shape_of(x), shape_of(y)], all)) for x, y in zip(a, b, strict=True)])
+    return pd.Series([value_of(shared_part(shape_of(x), shape_of(y))) for x, y in zip(a, b, strict=True)])
 
 
 @F.pandas_udf(MULTI)
@@ -307,7 +345,7 @@ def made_valid(a: pd.Series) -> pd.Series:
 @F.pandas_udf(T.BooleanType())
 def intersects(a: pd.Series, b: pd.Series) -> pd.Series:
     """Whether two geometries share some area."""
-    return pd.Series([bool(overlay([shape_of(x), shape_of(y)], all)) for x, y in zip(a, b, strict=True)])
+    return pd.Series([bool(shared_part(shape_of(x), shape_of(y))) for x, y in zip(a, b, strict=True)])
 
 
 @F.pandas_udf(POINT)

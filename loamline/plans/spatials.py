@@ -112,8 +112,9 @@ def mercator(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {BX} SELECT a.gid AS lid, b.gid AS rid, round((least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)), 6) AS area FROM bx a JOIN bx b ON a.gid < b.gid AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax")
 def overlay_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _polygons(spark, sf_dir)
-    cut = spatial.clipped_to(g.select(F.col("gid").alias("parcel_id"), "geometry"), g.select("gid", "geometry"), 50.0).filter("parcel_id < gid")
-    return cut.select(F.col("parcel_id").alias("lid"), F.col("gid").alias("rid"), F.round(geometry.area(F.col("geometry")), 6).alias("area"))
+    pairs = spatial.box_pairs(g.select(F.col("gid").alias("lid"), F.col("geometry").alias("lg"), *BOX), g.select(F.col("gid").alias("rid"), F.col("geometry").alias("rg"), *BOX), 50.0).filter("lid < rid")
+    cut = pairs.withColumn("shared", geometry.intersection("lg", "rg")).filter(F.size("shared") > 0)
+    return cut.select("lid", "rid", F.round(geometry.area(F.col("shared")), 6).alias("area"))
 
 
 @query(f"""WITH RECURSIVE {BX}, ed AS (SELECT a.gid AS a, b.gid AS b FROM bx a JOIN bx b ON a.gid <> b.gid AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax),

@@ -53,6 +53,22 @@ def test_overlays_against_sampling(seed):
     assert abs(hits * (4 / n) ** 2 - both) < 0.12
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_convex_parts_are_the_same_as_slabs(seed):
+    rng = random.Random(seed)
+    hull = lambda n, cx: [[[(cx + 2 * math.cos(t), 1.5 * math.sin(t)) for t in sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))]]]
+    a, b = hull(8, 0), hull(6, rng.uniform(-1, 5))
+    if seed % 2:
+        a = [[a[0][0][::-1]]]
+    assert g.convex_ring(a) and g.convex_ring(b)
+    assert abs(area(g.shared_part(a, b)) - area(g.overlay([a, b], all))) < 1e-9
+    assert g.convex_ring(star(rng, 9, 0, 0, 2)) is None
+    pentagram = [[[(math.cos(4 * math.pi * i / 5), math.sin(4 * math.pi * i / 5)) for i in range(5)]]]
+    assert g.convex_ring(pentagram) is None
+    square = [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]]]
+    assert g.shared_part(square, [[[(1, 0), (2, 0), (2, 1), (1, 1), (1, 0)]]]) == []
+
+
 def test_valid_and_made_valid(spark):
     rows = [(1, "POLYGON ((0 0, 2 2, 2 0, 0 2, 0 0))"), (2, "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"), (3, "POLYGON ((0 0, 1 1, 0 0))")]
     df = spark.createDataFrame(rows, "i int, w string").withColumn("g", g.from_wkt(F.col("w")))
