@@ -114,8 +114,6 @@ class Finder:
         for k, t in enumerate(self.templates):
             for w, i in t.votes.items():
                 self.seeds.setdefault(w, []).append((k, i))
-        words = sorted(self.seeds, key=len, reverse=True)
-        self.any = re.compile(r"(?<![^\W_])(?:" + "|".join(map(re.escape, words)) + r")(?![^\W_])", re.I)
 
     def windows(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
         """(template, from, to): where clusters of votes say it may be."""
@@ -146,7 +144,7 @@ class Finder:
 
     def find(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """(start, end, name, matched words, template's words) by start: spans in code points; of overlapping finds that with most matched words stays."""
-        if not self.any.search(text):
+        if self.seeds.keys().isdisjoint(WORD.findall(text.lower())):
             return []
         places = [(m.start(), m.end()) for m in WORD.finditer(text)]
         words = [text[a:b].lower() for a, b in places]
