@@ -1,8 +1,9 @@
 """License scans by patience alignment.
 
-A text is searched for windows that may hold a template: words that occur once in the template and are not everyday words vote for where it
-would begin, and votes close to each other make a window. Window and template are then aligned: words that occur once in
-both are anchors, the longest increasing subsequence of them is kept, and the gaps between are aligned the same way. The share of the
+A text is searched for windows that may hold a template: words that occur once in the template and are not everyday words vote for it, and
+votes within its reach of each other make a window. Window and template are then aligned by patience: words that occur once in
+both are anchors, the longest increasing subsequence of them is kept, and the gaps between are aligned the same way. Where that doesn't give a
+lone copy held whole, the longest common subsequences of all spans of the window are taken. The share of the
 template's words so matched is its coverage; enough of it is a find, with the span from the first to the last matched word.
 """
 
@@ -12,7 +13,9 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +26,9 @@ WORD = re.compile(r"[^\W_]+(?:[-.'][^\W_]+)*")
 #: Words that occur in any prose and so don't vote for where a template begins.
 EVERYDAY = frozenset("a above all an and any are as at be by for from have if in is it its may not of on or shall so such that the these this to under use was which will with you your".split())
 
+#: Two neighbouring votes of one place are at most the template's length and so many words apart.
+REACH = 8
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
 ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""
 BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
@@ -98,49 +104,77 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Template:
-    def __init__(self, name: str, text: str):
+    def __init__(self, name: str, text: str, coverage: float):
         self.name, self.words = name, tokens(text)
-        counts = Counter(self.words)
-        self.votes = {w: i for i, w in enumerate(self.words) if counts[w] == 1 and w not in EVERYDAY}
-        if not self.votes:
+        #: So many words in order are a find.
+        self.least = max(1, ceil(coverage * len(self.words) - 1e-9))
+        self.reach = len(self.words) + REACH
+        self.places: dict[str, list[int]] = {}
+        for j in range(len(self.words) - 1, -1, -1):
+            self.places.setdefault(self.words[j], []).append(j)
+        own = {w for w, at in self.places.items() if len(at) == 1 and w not in EVERYDAY}
+        if not own:
             raise ValueError(f"{name} has no word of its own")
+        missing = len(self.words) - self.least
+        # A find may lack every word of its own where these are few: then all words vote.
+        self.votes = own if len(own) > missing else set(self.places)
+        #: A find lacks `missing` words at most, so it holds so many of the voting words.
+        self.need = max(1, len(own) - missing)
+
+
+def spans(words: list[str], t: Template) -> list[tuple[int, int, int]]:
+    """(matched, from, to): for each place where one ends, the shortest span with so many template words in order, for each number from t.least on."""
+    n = len(t.words)
+    # start[j, m]: the last place from which m of the template's first j words follow in order, up to the word looked at.
+    start = np.full((n + 1, n + 1), -1, np.int64)
+    out = []
+    for i, w in enumerate(words):
+        at = t.places.get(w)
+        if at is None:
+            continue
+        before = start[n, t.least :].copy()
+        for j in at:  # from the last on, so that a word counts once
+            longer = start[j, :-1].copy()
+            longer[0] = i
+            np.maximum(start[j + 1 :, 1:], longer, out=start[j + 1 :, 1:])
+        now = start[n, t.least :]
+        out += [(int(m) + t.least, int(now[m]), i) for m in np.flatnonzero(now > before)]
+    return out
 
 
 class Finder:
     def __init__(self, templates: dict[str, str], coverage: float):
-        self.templates = [Template(n, t) for n, t in templates.items()]
-        self.coverage = coverage
-        self.seeds: dict[str, list[tuple[int, int]]] = {}
+        self.templates = [Template(n, t, coverage) for n, t in templates.items()]
+        self.seeds: dict[str, list[int]] = {}
         for k, t in enumerate(self.templates):
-            for w, i in t.votes.items():
-                self.seeds.setdefault(w, []).append((k, i))
+            for w in t.votes:
+                self.seeds.setdefault(w, []).append(k)
 
     def windows(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
-        """(template, from, to): where clusters of votes say it may be."""
-        votes: dict[int, list[tuple[int, int]]] = {}
+        """(template, from, to): runs of votes no further apart than the template's reach, with so much more on either side, that hold enough different votes."""
+        votes: dict[int, list[int]] = {}
         for i, w in enumerate(words):
-            for k, j in self.seeds.get(w, ()):
-                votes.setdefault(k, []).append((i - j, j))
+            for k in self.seeds.get(w, ()):
+                votes.setdefault(k, []).append(i)
         for k, cast in votes.items():
-            t = self.templates[k]
-            need = max(1, round(len(t.votes) * self.coverage * 0.6))
-            if len(cast) < need:
-                continue
-            slack = max(1, len(t.words) // 8)
-            cast.sort()
-            groups, held = [], [cast[0]]
-            for vote in cast[1:]:
-                if vote[0] - held[-1][0] > slack:
-                    groups.append(held)
-                    held = []
-                held.append(vote)
-            groups.append(held)
-            found = [(g[0][0], g[-1][0]) for g in groups if len({j for _, j in g}) >= need]
-            for x, (first, last) in enumerate(found):
-                # A window takes some words more on either side, but not into the windows next to it.
-                low = max(0, first - slack, found[x - 1][1] + len(t.words) if x and found[x - 1][1] + len(t.words) <= first else 0)
-                high = min(len(words), last + len(t.words) + slack, found[x + 1][0] if x + 1 < len(found) and found[x + 1][0] >= last + len(t.words) else len(words))
-                yield k, low, high
+            t, first = self.templates[k], 0
+            for x in range(1, len(cast) + 1):
+                if x == len(cast) or cast[x] - cast[x - 1] > t.reach:
+                    if x - first >= t.need and len({words[i] for i in cast[first:x]}) >= t.need:
+                        yield k, max(0, cast[first] - t.reach), min(len(words), cast[x - 1] + t.reach + 1)
+                    first = x
+
+    def places(self, words: list[str], k: int) -> list[tuple[int, int, int]]:
+        """(matched, from, to) of a window: a lone copy held whole by patience, anything else by spans()."""
+        t = self.templates[k]
+        counts = Counter(w for w in words if w in t.votes)
+        if sum((Counter(words) & Counter(t.words)).values()) < t.least:
+            return []
+        if len(counts) == len(t.votes) == sum(counts.values()):
+            pairs = patience(words, t.words)
+            if len(pairs) == len(t.words) == pairs[-1][0] - pairs[0][0] + 1:
+                return [(len(pairs), pairs[0][0], pairs[-1][0])]
+        return spans(words, t)
 
     def find(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """(start, end, name, matched words, template's words) by start: spans in code points; of overlapping finds that with most matched words stays."""
@@ -150,10 +184,8 @@ class Finder:
         words = [text[a:b].lower() for a, b in places]
         found = []
         for k, low, high in self.windows(words):
-            t = self.templates[k]
-            pairs = patience(words[low:high], t.words)
-            if pairs and len(pairs) >= self.coverage * len(t.words):
-                found.append((len(pairs), len(pairs) / len(t.words), places[low + pairs[0][0]][0], places[low + pairs[-1][0]][1], k))
+            for n, first, last in self.places(words[low:high], k):
+                found.append((n, n / len(self.templates[k].words), places[low + first][0], places[low + last][1], k))
         found.sort(key=lambda f: (-f[0], -f[1], f[2], f[4]))
         kept: list[tuple[int, int, str, int, int]] = []
         for n, _, start, end, k in found:
@@ -183,7 +215,8 @@ def scanner(templates: dict[str, str], coverage: float):
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8) -> DataFrame:
     """(doc_id, license, start, end, n_matched, n_template): every place in a text that holds at least `coverage` of a template's words in order.
 
-    Spans are code points, end exclusive. Places that overlap give the one with most matched words (then the higher coverage, the
+    A place ends where none of the template's own words comes for as many words as the template has and REACH more; up to there, foreign
+    words may stand anywhere in it. Spans are code points, end exclusive. Places that overlap give the one with most matched words (then the higher coverage, the
     earlier start, the earlier template). A text without finds, empty or null gives no row; repeated rows give theirs each; a null doc_id
     stays null; extra columns are ignored. Texts are read once and nothing is shuffled.
     """

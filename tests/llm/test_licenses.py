@@ -66,3 +66,31 @@ def test_notices_of_the_documents(spark, sf_dir):
     notices = {n: t for n, t in li.TEMPLATES.items() if n.endswith("notice")}
     want = sorted((r.doc_id, n) for r in docs.collect() for n, t in notices.items() for _ in range(r.text.count(t)))
     assert sorted((r.doc_id, r.license) for r in li.licenses(docs).collect()) == want
+
+
+def test_words_put_into_templates():
+    finder = li.Finder(li.TEMPLATES, 0.8)
+    for text, name, n in (
+        ("Licensed under the terms of the Apache License, Version 2.0", "Apache-2.0-notice", 7),
+        ("Released under the terms of the MIT License", "MIT-notice", 5),
+        ("Licensed under the terms of CC BY-NC 4.0", "CC-BY-NC-4.0-notice", 5),
+    ):
+        assert [(f[2], f[3], f[0], f[1]) for f in finder.find(text)] == [(name, n, 0, len(text))]
+    rng = random.Random(4)
+    found = 0
+    for name, text in li.TEMPLATES.items():
+        t = li.Template(name, text, 0.8)
+        alone = li.Finder({name: text}, 0.8)
+        for _ in range(15):
+            words = [w for w in t.words if rng.random() < rng.choice((0.75, 0.9, 1))]
+            for _ in range(rng.randrange(4)):  # foreign words and words of the template, in runs
+                at = rng.randrange(len(words) + 1)
+                words[at:at] = [rng.choice([*t.words, "zz", "yy"]) for _ in range(rng.randrange(8))]
+            best = longest(words, t.words)
+            got = alone.find(" ".join(words))
+            assert (max((n for *_, n, _ in got), default=0)) == (best if best >= t.least else 0)
+            found += bool(got)
+    assert found > 60
+    half = li.MIT.split()
+    (one,) = li.Finder({"MIT": li.MIT}, 0.8).find(" ".join([*half[:40], *["foreign"] * 80, *half[40:]]))
+    assert one[3] == one[4]
