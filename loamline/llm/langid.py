@@ -8,6 +8,7 @@ by the host's address suffix, and those by all documents: counts of what the tex
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,10 +21,10 @@ from .shared import bounded, materialise, small_batches
 
 #: Slots of the trigram tables, and bytes scored at a time.
 SLOTS, PIECE = 1 << 16, 1 << 20
-#: The models are fitted on at most so many labelled documents a language, of at most so many characters each: a bounded sample by md5 of doc_id.
+#: The models are fitted on at most so many labelled documents a language, and so many characters from the middle of each: a bounded sample by md5 of doc_id.
 SAMPLE_DOCS, SAMPLE_CHARS = 300, 20_000
-#: A language needs so many labelled documents to get a model.
-LEAST_DOCS = 10
+#: The model of a language with fewer labelled documents is mixed with this share of what all languages' documents hold.
+LEAST_DOCS, SHARED = 10, 0.2
 #: Trigrams overlap and depend on each other; their log-likelihood counts for this share.
 TEXT_WEIGHT = 0.3
 #: Documents that a suffix's (a host's) prior is worth when a host's (its own) counts are added to it.
@@ -59,27 +60,37 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id") -> Model:
-    """Trigram models of the languages that label names often enough, from a bounded sample of their documents."""
-    usable = docs.filter(F.col(label).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (F.length(text) > 0))
-    counts = {r[0]: r[1] for r in usable.groupBy(label).count().filter(F.col("count") >= LEAST_DOCS).collect()}
-    if not counts:
-        return Model([UNKNOWN], np.zeros((SLOTS, 1), np.float32))
+    """Trigram models of all languages that label names, from a bounded sample of their documents; labels that are empty or "und" name none."""
+    usable = docs.filter((F.trim(label) != "") & (F.col(label) != UNKNOWN) & (F.length(text) > 0))
+    counts = {r[0]: r[1] for r in usable.groupBy(label).count().collect()}
     mark = F.md5(F.coalesce(F.col(key).cast("string"), F.col(text)))
-    wanted = [(F.col(label) == lang) & (F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") < 2.0**32 * min(1.0, 1.3 * SAMPLE_DOCS / n)) for lang, n in sorted(counts.items())]
-    keep = wanted[0]
-    for w in wanted[1:]:
-        keep = keep | w
-    rows = usable.filter(keep).select(F.col(label).alias("label"), mark.alias("mark"), F.col(text).alias("text")).orderBy("mark").limit(2 * SAMPLE_DOCS * len(counts)).collect()
-    languages = sorted(counts)
-    seen = np.full((SLOTS, len(languages)), 0.5)
-    held = dict.fromkeys(languages, 0)
+    large = {lang: n for lang, n in sorted(counts.items()) if n > 1.3 * SAMPLE_DOCS}
+    keep = ~F.col(label).isin(list(large))
+    for lang, n in large.items():
+        keep = keep | (F.col(label) == lang) & (F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") < 2.0**32 * 1.3 * SAMPLE_DOCS / n)
+    piece = F.substring(F.col(text), F.greatest(F.lit(1), F.floor((F.length(text) - SAMPLE_CHARS) / 2).cast("int") + 1), F.lit(SAMPLE_CHARS))
+    rows = usable.filter(keep).select(F.col(label).alias("label"), mark.alias("mark"), piece.alias("text")).orderBy("mark").limit(2 * SAMPLE_DOCS * max(1, len(counts))).collect()
+    held: Counter[str] = Counter()
+    seen: dict[str, np.ndarray] = {}
     for r in rows:
         if held[r.label] < SAMPLE_DOCS:
-            held[r.label] += 1
-            # A document counts alike whatever its length, so long ones don't make the model.
             found = np.bincount(slots_of(r.text), minlength=SLOTS)
-            seen[:, languages.index(r.label)] += found * (1000 / max(1000, found.sum()))
-    return Model(languages, np.log(seen / seen.sum(axis=0)).astype(np.float32))
+            if found.any():
+                held[r.label] += 1
+                # A document counts alike whatever its length, so long ones don't make the model.
+                seen[r.label] = seen.get(r.label, 0) + found * (1000 / max(1000, found.sum()))
+    if not seen:
+        return Model([UNKNOWN], np.zeros((SLOTS, 1), np.float32))
+    # Counts are brought to the same total, so that what a language has not shown costs alike in each, however few its documents.
+    languages, most = sorted(seen), max(c.sum() for c in seen.values())
+    common = sum(seen.values())
+    table = np.empty((SLOTS, len(languages)), np.float32)
+    for i, lang in enumerate(languages):
+        share = seen[lang] / seen[lang].sum()
+        if held[lang] < LEAST_DOCS:
+            share = (1 - SHARED) * share + SHARED * common / common.sum()
+        table[:, i] = np.log((most * share + 0.5) / (most + 0.5 * SLOTS))
+    return Model(languages, table)
 
 
 def scored(model: Model, text: Column, declared: Column) -> Column:

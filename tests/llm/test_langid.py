@@ -52,3 +52,21 @@ def test_hosts_and_suffixes(spark):
     rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").select("i", langid.host_of(F.col("u")).alias("h"), langid.suffix_of(langid.host_of(F.col("u"))).alias("s")).orderBy("i").collect()
     assert [r.h for r in rows] == ["a.example.com", "b.org", "src7", "", None, "c.co.uk."]
     assert [r.s for r in rows] == ["com", "org", "", "", "", "uk"]
+
+
+def test_long_and_few_labelled_texts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang", "source").filter("length(text) > 200")
+    few = [r.doc_id for r in docs.filter("lang = 'fr'").orderBy("doc_id").limit(3).collect()]
+    # Three French labels; every German text is longer than the sample takes of one.
+    train = docs.filter(F.col("doc_id").isin(few) | (F.col("lang") != "fr")).withColumn("text", F.when(F.col("lang") == "de", F.repeat("text", 120)).otherwise(F.col("text")))
+    model = langid.fit(train)
+    assert set(model.languages) == {r.lang for r in docs.select("lang").distinct().collect()}
+    out = langid.identify(docs.filter(~F.col("doc_id").isin(few)), host=None, declared=None, model=model)
+    rows = out.join(docs.select("doc_id", F.col("lang").alias("truth")), "doc_id").collect()
+    for lang in model.languages:
+        right = [r.lang == lang for r in rows if r.truth == lang]
+        assert sum(right) / len(right) > 0.95, lang
+    long = docs.filter("doc_id < 50").withColumn("text", F.repeat("text", 120))
+    assert langid.in_known_language(long).count() == long.count()
+    small = docs.filter("doc_id < 6")
+    assert langid.in_known_language(small).count() == small.count() > 0
