@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from loamline.functions import nulls, stats, text
@@ -106,6 +107,19 @@ def test_clusters_of_blobs():
     assert (clustering.hdbscan(x[:10], 20, 5)[0] == -1).all()
 
 
+def test_clusters_beyond_one_task(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.4, (250, 4)) for c in (0, 3, 7)] + [rng.uniform(-4, 12, (60, 4)), np.zeros((5, 4))])
+    one, many = clustering.mutual_tree(x, 5), clustering.spread_tree(spark, x, 5)
+    assert len(many) == len(x) - 1 and np.allclose(one[:, 2], many[:, 2], atol=1e-6)
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["i", "features"])
+    want, got = (clustering.clustered(df, ["i"], "features", 20, 5, most=m).orderBy("i").toPandas() for m in (10_000, 100))
+    assert (want["cluster_id"] == -1).any() and want["cluster_id"].nunique() == 4
+    pairs = set(zip(want["cluster_id"], got["cluster_id"]))
+    assert len(pairs) == 4 and (-1, -1) in pairs
+    assert np.allclose(want["cluster_prob"], got["cluster_prob"], atol=1e-5) and np.allclose(want["cluster_outlier"], got["cluster_outlier"], atol=1e-5)
+
+
 def test_training_end_to_end(spark):
     df, _ = stages.labelled(features.with_temporal(rows_of(spark), features.TEMPORAL))
     out = stages.trained(df.cache(), 3, {"iterations": 5, "depth": 3})
