@@ -100,7 +100,7 @@ def sketcher(k: int, bands: int, rows: int):
     return run
 
 
-SETS = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
+SETS = pa.schema([("doc_id", pa.int64()), ("cls", pa.binary()), ("hashes", pa.binary())])
 
 
 def setter(k: int):
@@ -110,7 +110,8 @@ def setter(k: int):
         def made():
             for batch in batches:
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    yield doc, shingle_set(words_of(text.as_py()), k, hashes).tobytes()
+                    s = shingle_set(words_of(text.as_py()), k, hashes).tobytes()
+                    yield doc, xxhash.xxh3_128_digest(s), s
 
         yield from batched(made(), SETS)
 
@@ -241,8 +242,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     several = own.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).filter("b < top").select("doc_id", "b")
     same_id = own.join(several, "doc_id").filter("rep <> b").select(F.col("rep").alias("a"), "b")
     # One sketch for each distinct set: that of its smallest doc_id.
-    reps = materialise(known.join(classes.select("cls", F.col("rep").alias("doc_id")), ["cls", "doc_id"]).select(F.col("doc_id").alias("id"), "n", "sig", "bands").dropDuplicates(["id", "n", "sig"]), "reps")
-    members = reps.select(F.explode("bands").alias("key"), "id")
+    reps = materialise(known.join(classes.select("cls", F.col("rep").alias("doc_id")), ["cls", "doc_id"]).select(F.col("doc_id").alias("id"), "cls", "n", "sig", "bands").dropDuplicates(["id", "cls"]), "reps")
+    members = reps.select(F.explode("bands").alias("key"), "id", "cls")
     pivots = members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).filter("pivot < top").select("key", "pivot")
     shared = materialise(members.join(pivots, "key"), "buckets")
     # Each member's best pivot: the one it meets in most bands.
@@ -252,7 +253,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     def sets_of(ids: DataFrame) -> DataFrame:
         """Shingle sets of the documents named: only these texts leave their scan."""
         ids = bounded(materialise(ids.distinct(), "candidates"))
-        return materialise(texts.join(ids, "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, hashes binary"), "sets")
+        return materialise(texts.join(ids, "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, cls binary, hashes binary"), "sets")
 
     sets = sets_of(best.select(F.explode(F.array("a", "b")).alias("doc_id")))
     links = materialise(confirmed(best, sets, num, den).union(same_id), "links")
@@ -260,16 +261,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     roots = components(links)
 
     # Buckets that still hold several components: all their pairs across components, in blocks.
-    placed = shared.select("key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
+    placed = shared.select("key", "id", "cls").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", "cls", F.coalesce("root", "id").alias("comp"))
     open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))
-    dealt = placed.join(open_keys, "key").join(reps, "id").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = placed.join(open_keys, "key").join(reps, ["id", "cls"]).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
-    dealt = dealt.select("key", "i", "j", "blk", "id", "comp", "n", "sig", "bands")
+    dealt = dealt.select("key", "i", "j", "blk", "id", "cls", "comp", "n", "sig", "bands")
     among = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    rest = materialise(among(dealt).mapInArrow(parties(floor, num, den), "key long, i long, j long, id long"), "parties")
+    rest = materialise(among(dealt.drop("cls")).mapInArrow(parties(floor, num, den), "key long, i long, j long, id long"), "parties")
     if rest.limit(1).count():
-        sets = sets_of(rest.select(F.col("id").alias("doc_id"))).select(F.col("doc_id").alias("id"), "hashes").dropDuplicates(["id"])
-        held = dealt.join(rest, ["key", "i", "j", "id"], "left_semi").join(sets, "id")
+        sets = sets_of(rest.select(F.col("id").alias("doc_id"))).withColumnRenamed("doc_id", "id").dropDuplicates(["id", "cls"])  # an id may have several texts
+        held = dealt.join(rest, ["key", "i", "j", "id"], "left_semi").join(sets, ["id", "cls"]).drop("cls")
         links = links.union(materialise(among(held).mapInArrow(linker(floor, num, den), "a long, b long"), "links"))
         discard(roots)
         roots = components(links)
@@ -279,9 +280,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """docs with one document of each group of near-duplicates, the smallest doc_id, in their own columns. Rows with null doc_id stay; repeated rows of a kept doc_id become one."""
+    """docs with one document of each group of near-duplicates, the smallest doc_id, in their own columns. Rows with null doc_id stay; of rows that share a kept doc_id the first by a digest of the row stays."""
     kept = materialise(near_duplicates(docs, k, num, den).filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
     out = docs.filter("doc_id is not null").join(bounded(kept), "doc_id", "left_semi").select(*docs.columns)
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])  # texts are dealt out by doc_id only where one repeats
+        row = F.struct(*docs.columns)
+        out = out.groupBy("doc_id").agg(F.min_by(row, F.md5(F.to_json(row))).alias("_row")).select("_row.*")  # texts are dealt out by doc_id only where one repeats
     return out.unionByName(docs.filter("doc_id is null"))

@@ -108,3 +108,21 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1400)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_ids_with_several_texts_in_blocks(spark):
+    rows = []
+    for f in range(16):
+        w = lambda kind, a, b: [f"{kind}{f}x{i}" for i in range(a, b)]  # noqa: E731, B023
+        first = w("p", 0, 400)
+        second = first[:348] + w("q", 348, 400)  # not linked to the first, but in its buckets
+        third = second[:362] + w("r", 362, 400)  # linked to the second only
+        other = w("z", 0, 400)
+        rows += [(10 * f + 1, " ".join(first)), (10 * f + 2, " ".join(second))]
+        rows += [(10 * f + 3, " ".join(t)) for t in ((third, other) if f % 2 else (other, third))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 5, 4, 5).collect()}
+    assert [d for d in got if got[d] != (d - 1 if d % 10 == 3 else d)] == []
+    alone = docs.filter("doc_id % 10 = 3")
+    once, again = (sorted(map(tuple, neardup.keep_one(x).collect())) for x in (alone, alone.orderBy("text").repartition(3)))
+    assert once == again and len(once) == 16
