@@ -10,7 +10,7 @@ import math
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -224,17 +224,22 @@ def edges_of(shape: Shape) -> np.ndarray:
     return np.array(out, float).reshape(-1, 4)
 
 
-def crossings(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Heights at which edges of a and b cross."""
-    if not len(a) or not len(b):
-        return np.zeros(0)
-    d, e = a[:, None, 2:] - a[:, None, :2], b[None, :, 2:] - b[None, :, :2]
-    cross = d[..., 0] * e[..., 1] - d[..., 1] * e[..., 0]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        w = b[None, :, :2] - a[:, None, :2]
-        t, u = (w[..., 0] * e[..., 1] - w[..., 1] * e[..., 0]) / cross, (w[..., 0] * d[..., 1] - w[..., 1] * d[..., 0]) / cross
-    ok = (cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-    return (a[:, None, 1] + t * d[..., 1])[ok]
+def crossings(edges: np.ndarray, at_once: int = 256) -> np.ndarray:
+    """Heights at which edges cross. Edges are compared in blocks by their lower ends, each with those that begin below the block's top: memory grows with the edges, not their square."""
+    e = edges[np.argsort(edges[:, 1], kind="stable")]
+    out = [np.zeros(0)]
+    for i in range(0, len(e), at_once):
+        a = e[i : i + at_once]
+        b = e[i : int(np.searchsorted(e[:, 1], a[:, 3].max(), "right"))]
+        b = b[b[:, 3] >= a[0, 1]]
+        d, f = a[:, None, 2:] - a[:, None, :2], b[None, :, 2:] - b[None, :, :2]
+        cross = d[..., 0] * f[..., 1] - d[..., 1] * f[..., 0]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            w = b[None, :, :2] - a[:, None, :2]
+            t, u = (w[..., 0] * f[..., 1] - w[..., 1] * f[..., 0]) / cross, (w[..., 0] * d[..., 1] - w[..., 1] * d[..., 0]) / cross
+        ok = (cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        out.append((a[:, None, 1] + t * d[..., 1])[ok])
+    return np.concatenate(out)
 
 
 def overlay(shapes: list[Shape], keep) -> Shape:
@@ -246,7 +251,7 @@ def overlay(shapes: list[Shape], keep) -> Shape:
     every = np.concatenate(edges) if edges else np.zeros((0, 4))
     if not len(every):
         return []
-    heights = np.unique(np.concatenate([every[:, 1], every[:, 3], crossings(every, every)]))
+    heights = np.unique(np.concatenate([every[:, 1], every[:, 3], crossings(every)]))
     out: Shape = []
     for low, high in pairwise(heights):
         mid = (low + high) / 2
@@ -311,52 +316,181 @@ def shared_part(x: Shape, y: Shape) -> Shape:
     return convex_intersection(a, b) if a and b else overlay([x, y], all)
 
 
-def shape_of(value) -> Shape:
-    return [[[(p["x"], p["y"]) for p in ring] for ring in polygon if len(ring) > 2] for polygon in value] if value is not None else []
+class Shapes:
+    """A column of multipolygons as flat coordinates and the offsets of its polygons, rings and points."""
 
+    def __init__(self, column: pa.Array):
+        column = pa.concat_arrays([column])  # whole buffers from offset 0, whatever slice came in
+        self.valid = column.is_valid().to_numpy(zero_copy_only=False)
+        polygons = column.values
+        rings = polygons.values
+        points = rings.values
+        self.p, self.r, self.v = (np.asarray(c.offsets) for c in (column, polygons, rings))
+        self.x, self.y = (points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
 
-def value_of(shape: Shape):
-    return [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in polygon] for polygon in shape]
+    def __len__(self) -> int:
+        return len(self.valid)
 
-
-@F.pandas_udf(MULTI)
-def intersection(a: pd.Series, b: pd.Series) -> pd.Series:
+    def shape(self, i: int) -> Shape:
+        """Row i as nested lists; rings of two points or fewer are left out, a missing row is empty."""
+        if not self.valid[i]:
+            return []
+        ring = lambda k: list(zip(self.x[self.v[k] : self.v[k + 1]].tolist(), self.y[self.v[k] : self.v[k + 1]].tolist(), strict=True))
+        return [[ring(k) for k in range(self.r[j], self.r[j + 1]) if self.v[k + 1] - self.v[k] > 2] for j in range(self.p[i], self.p[i + 1])]
+
+    def convex(self, most: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(is convex, x, y, points): rows of one convex ring of at most `most` points, open and counter-clockwise, padded to the same width."""
+        n = len(self)
+        one = self.valid & (np.diff(self.p) == 1)
+        j = self.p[:-1][one]
+        one[one] = self.r[j + 1] - self.r[j] == 1
+        k = self.r[self.p[:-1][one]]
+        first, count = self.v[k], self.v[k + 1] - self.v[k]
+        fits = (count > 2) & (count <= most + 1)
+        one[one] = fits
+        first, count = first[fits], count[fits]
+        last = first + count - 1
+        count = count - ((self.x[first] == self.x[last]) & (self.y[first] == self.y[last]))
+        width = int(count.max()) if len(count) else 0
+        at = np.arange(width)[None, :]
+        pad = at >= count[:, None]
+        place = first[:, None] + np.where(pad, 0, at)
+        x, y = self.x[place], self.y[place]
+        after = np.where(at + 1 >= count[:, None], 0, at + 1)
+        dx, dy = np.take_along_axis(x, after, 1) - x, np.take_along_axis(y, after, 1) - y
+        turn = np.where(pad, 0.0, dx * np.take_along_axis(dy, after, 1) - dy * np.take_along_axis(dx, after, 1))
+        left, right = (turn >= 0).all(axis=1), (turn <= 0).all(axis=1)
+        # Turns of one sign wind once only if they also go up and down once: level sides take the direction of the side before.
+        up = np.where(pad, 0, np.sign(dy)).astype(np.int8)
+        for i in range(1, width):
+            up[:, i] = np.where((up[:, i] == 0) & ~pad[:, i], up[:, i - 1], up[:, i])
+        end = np.take_along_axis(up, np.maximum(count - 1, 0)[:, None], 1)
+        for i in range(width):
+            level = (up[:, i] == 0) & ~pad[:, i]
+            up[:, i] = np.where(level, end[:, 0] if i == 0 else up[:, i - 1], up[:, i])
+        changes = ((up != np.take_along_axis(up, after, 1)) & ~pad).sum(axis=1)
+        good = (count > 2) & (changes == 2) & (left != right)
+        back = np.where(pad, 0, count[:, None] - 1 - at)
+        turned = right[:, None] & ~left[:, None]
+        x, y = np.where(turned, np.take_along_axis(x, back, 1), x), np.where(turned, np.take_along_axis(y, back, 1), y)
+        is_convex = np.zeros(n, bool)
+        is_convex[one] = good
+        return is_convex, x[good], y[good], count[good]
+
+
+def convex_parts(x: np.ndarray, y: np.ndarray, n: np.ndarray, bx: np.ndarray, by: np.ndarray, bn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What pairs of convex rings share, all pairs at once: each first ring is cut by the sides of the second. No points where there is no area."""
+    for j in range(bx.shape[1]):
+        rows = np.arange(len(n))
+        k = np.minimum(j + 1, bn - 1) * (j + 1 < bn)
+        px, py, qx, qy = bx[:, j, None], by[:, j, None], bx[rows, k][:, None], by[rows, k][:, None]
+        there = np.arange(x.shape[1])[None, :] < n[:, None]
+        after = np.where(np.arange(x.shape[1])[None, :] + 1 >= n[:, None], 0, np.arange(x.shape[1])[None, :] + 1)
+        side = (qx - px) * (y - py) - (qy - py) * (x - px)
+        other = np.take_along_axis(side, after, 1)
+        cuts = (j < bn)[:, None]
+        keep = there & ((side >= 0) | ~cuts)
+        cross = there & cuts & (((side > 0) & (other < 0)) | ((side < 0) & (other > 0)))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = side / (side - other)
+            cx, cy = x + t * (np.take_along_axis(x, after, 1) - x), y + t * (np.take_along_axis(y, after, 1) - y)
+        cx, cy = np.where(cross, cx, 0.0), np.where(cross, cy, 0.0)
+        mask = np.stack([keep, cross], axis=2).reshape(len(n), -1)
+        order = np.argsort(~mask, axis=1, kind="stable")
+        n = mask.sum(axis=1)
+        order = order[:, : max(1, int(n.max(initial=0)))]
+        x = np.take_along_axis(np.stack([x, cx], axis=2).reshape(len(n), -1), order, 1)
+        y = np.take_along_axis(np.stack([y, cy], axis=2).reshape(len(n), -1), order, 1)
+    there = np.arange(x.shape[1])[None, :] < n[:, None]
+    after = np.where(np.arange(x.shape[1])[None, :] + 1 >= n[:, None], 0, np.arange(x.shape[1])[None, :] + 1)
+    twice = np.where(there, x * np.take_along_axis(y, after, 1) - np.take_along_axis(x, after, 1) * y, 0.0).sum(axis=1)
+    return x, y, np.where((n > 2) & (twice != 0), n, 0)
+
+
+ARROW = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+
+
+def column_of(rows: list[Shape | None], flat: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None) -> pa.Array:
+    """A column of multipolygons from nested lists; rows that flat = (which, x, y, points) holds are single open rings, which are closed, or empty with 0 points."""
+    if flat is not None and len(flat[0]) == len(rows):
+        x, y, n = flat[1:]
+        closed = np.where(n > 0, n + 1, 0)
+        width = int(closed.max(initial=0))
+        at = np.arange(width)[None, :]
+        place = np.where(at < n[:, None], np.minimum(at, max(0, x.shape[1] - 1)), 0)
+        inside = at < closed[:, None]
+        points = pa.StructArray.from_arrays([pa.array(np.take_along_axis(v, place, 1)[inside]) for v in (x, y)], names=["x", "y"])
+        rings = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(closed[closed > 0])), pa.int32()), points)
+        polygons = pa.ListArray.from_arrays(pa.array(np.arange(len(rings) + 1), pa.int32()), rings)
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(closed > 0)), pa.int32()), polygons)
+    rows = list(rows)
+    for i, x, y, n in zip(*flat, strict=True) if flat is not None else ():
+        ring = list(zip(x[:n].tolist(), y[:n].tolist(), strict=True))
+        rows[i] = [[[*ring, ring[0]]]] if n else []
+    return pa.array([None if r is None else [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in polygon] for polygon in r] for r in rows], ARROW)
+
+
+def shared_shapes(a: pa.Array, b: pa.Array) -> tuple[list[Shape | None], tuple]:
+    """What the rows of two columns share: convex ones all at once, the others one by one."""
+    one, two = Shapes(a), Shapes(b)
+    (ca, ax, ay, an), (cb, bx, by, bn) = one.convex(), two.convex()
+    both = ca & cb
+    ra, rb = both[ca], both[cb]
+    flat = (np.flatnonzero(both), *convex_parts(ax[ra], ay[ra], an[ra], bx[rb], by[rb], bn[rb])) if both.any() else None
+    rows: list[Shape | None] = [None] * len(one)
+    for i in np.flatnonzero(~both):
+        rows[i] = overlay([one.shape(i), two.shape(i)], all)
+    return rows, flat
+
+
+@F.arrow_udf(MULTI)
+def intersection(a: pa.Array, b: pa.Array) -> pa.Array:
     """What two geometries share; empty if nothing."""
-    return pd.Series([value_of(shared_part(shape_of(x), shape_of(y))) for x, y in zip(a, b, strict=True)])
+    return column_of(*shared_shapes(a, b))
 
 
-@F.pandas_udf(MULTI)
-def difference(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([value_of(overlay([shape_of(x), shape_of(y)], lambda i: i[0] and not i[1])) for x, y in zip(a, b, strict=True)])
+@F.arrow_udf(MULTI)
+def difference(a: pa.Array, b: pa.Array) -> pa.Array:
+    one, two = Shapes(a), Shapes(b)
+    return column_of([overlay([one.shape(i), two.shape(i)], lambda i: i[0] and not i[1]) for i in range(len(one))])
 
 
-@F.pandas_udf(MULTI)
-def union_of(many: pd.Series) -> pd.Series:
+@F.arrow_udf(MULTI)
+def union_of(many: pa.Array) -> pa.Array:
     """Union of an array of geometries."""
-    return pd.Series([value_of(overlay([shape_of(g) for g in geometries], any)) for geometries in many])
+    many = pa.concat_arrays([many])
+    held, at = Shapes(many.values), np.asarray(many.offsets)
+    return column_of([overlay([held.shape(k) for k in range(at[i], at[i + 1])], any) for i in range(len(many))])
 
 
-@F.pandas_udf(MULTI)
-def made_valid(a: pd.Series) -> pd.Series:
-    """Each polygon by the even-odd rule, all of them united; NULL for NULL or nothing left."""
-    return pd.Series([(value_of(overlay([[p] for p in shape_of(x)], any)) or None) if x is not None else None for x in a])
+@F.arrow_udf(MULTI)
+def made_valid(a: pa.Array) -> pa.Array:
+    """Each polygon by the even-odd rule, all of them united; NULL for NULL or nothing left. A convex ring stays as it is."""
+    held = Shapes(a)
+    convex, x, y, n = held.convex()
+    rows = [None if convex[i] or not held.valid[i] else overlay([[p] for p in held.shape(i)], any) or None for i in range(len(held))]
+    return column_of(rows, (np.flatnonzero(convex), x, y, n) if convex.any() else None)
 
 
-@F.pandas_udf(T.BooleanType())
-def intersects(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether two geometries share some area."""
-    return pd.Series([bool(shared_part(shape_of(x), shape_of(y))) for x, y in zip(a, b, strict=True)])
-
-
-@F.pandas_udf(POINT)
-def inner_point(a: pd.Series) -> pd.DataFrame:
-    """A point inside: the middle of the widest piece at the middle height."""
-    rows = []
-    for value in a:
-        shape = shape_of(value)
-        e = edges_of(shape)
+    rows, flat = shared_shapes(a, b)
+    out = np.array([bool(r) for r in rows], bool)
+    if flat is not None:
+        out[flat[0]] = flat[3] > 0
+    return pa.array(out)
+
+
+@F.arrow_udf(POINT)
+def inner_point(a: pa.Array) -> pa.Array:
+    """A point inside: the middle of the widest piece at the middle height; NULL without area."""
+    held = Shapes(a)
+    rows: list[dict | None] = []
+    for i in range(len(held)):
+        e = edges_of(held.shape(i))
         if not len(e):
-            rows.append((None, None))
+            rows.append(None)
             continue
         levels = np.unique(e[:, [1, 3]])
         mid = (levels[0] + levels[-1]) / 2
@@ -366,22 +500,24 @@ def inner_point(a: pd.Series) -> pd.DataFrame:
         x = np.sort(e[:, 0] + (e[:, 2] - e[:, 0]) * (y - e[:, 1]) / (e[:, 3] - e[:, 1]))
         widths = x[1::2] - x[::2]
         k = int(widths.argmax())
-        rows.append((float(x[2 * k] + widths[k] / 2), float(y)))
-    return pd.DataFrame(rows, columns=["x", "y"])
+        rows.append({"x": float(x[2 * k] + widths[k] / 2), "y": float(y)})
+    return pa.array(rows, pa.struct([("x", pa.float64()), ("y", pa.float64())]))
 
 
-@F.pandas_udf(T.BooleanType())
-def is_valid(a: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def is_valid(a: pa.Array) -> pa.Array:
     """Rings of three distinct points at least whose edges cross nowhere between their ends."""
+    held = Shapes(a)
+    convex, *_ = held.convex()
 
-    def ok(value) -> bool:
-        for polygon in shape_of(value):
+    def ok(i: int) -> bool:
+        for polygon in held.shape(i):
             rims = [edges_of([[ring]]) for ring in polygon]
             if any(len(set(ring)) < 3 for ring in polygon):
                 return False
             e = np.concatenate(rims) if rims else np.zeros((0, 4))
-            if len(e) and not set(np.round(crossings(e, e), 12)) <= set(np.round(e[:, [1, 3]].ravel(), 12)):
+            if len(e) and not set(np.round(crossings(e), 12)) <= set(np.round(e[:, [1, 3]].ravel(), 12)):
                 return False
         return True
 
-    return pd.Series([None if v is None else ok(v) for v in a])
+    return pa.array([None if not held.valid[i] else bool(convex[i]) or ok(i) for i in range(len(held))], pa.bool_())

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.nulls import EPS, mean_of, total_of, yes
 from ..functions.stats import joined_on, otsu, with_robust_unit
-from ..session import checkpointed
+from ..session import checkpointed, dropped, written
 
 BANDS = ["blue", "green", "red", "nir"]
 # Weights of the risk's components, thresholds of masks, soil factors (gain, offset).
@@ -421,17 +421,19 @@ def label_tile(mask: np.ndarray) -> np.ndarray:
 
 def merged(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root): the least node that each node of the edges (a, b) is linked to; labels spread over edges and jump to their label's label until none moves."""
-    both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")))
+    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    held = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "labels")
     for _ in range(most):
+        labels = held.select("node", "root")
         near = both.join(labels.select(F.col("node").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
         step = labels.join(near, "node").select("node", F.least("root", "r").alias("root"), (F.col("r") < F.col("root")).alias("moved"))
         jump = step.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = checkpointed(step.join(jump, "root", "left").select("node", F.least("root", F.coalesce("up", "root")).alias("root"), (F.col("moved") | (F.col("up") < F.col("root"))).alias("moved")))
-        moved = new.filter("moved").limit(1).count()
-        labels = new.select("node", "root")
-        if not moved:
-            return labels
+        new = written(step.join(jump, "root", "left").select("node", F.least("root", F.coalesce("up", "root")).alias("root"), (F.col("moved") | (F.col("up") < F.col("root"))).alias("moved")), "labels")
+        dropped(held)
+        held = new
+        if not held.filter("moved").limit(1).count():
+            dropped(both)
+            return held.select("node", "root")
     raise RuntimeError("components did not settle")
 
 

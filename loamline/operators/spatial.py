@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.stats import zone_aggregates
+from ..session import checkpointed, unused, written
 from . import geometry as g
 from .raster import merged
 
@@ -85,10 +86,10 @@ def pixels_in_boxes(px: DataFrame, boxes: DataFrame, size: int = 16) -> DataFram
     return at.join(in_cells(boxes, size), ["cx", "cy"]).filter((x >= F.col("xmin")) & (x < F.col("xmax")) & (y >= F.col("ymin")) & (y < F.col("ymax"))).drop("cx", "cy", *BOX)
 
 
-def pixels_in_polygons(px: DataFrame, zones: DataFrame, size: int = 16) -> DataFrame:
-    """px joined to zones (zone, geometry in grid units) that hold its pixel centre."""
+def pixels_in_polygons(px: DataFrame, zones: DataFrame, size: int = 16, own: list[str] | None = None) -> DataFrame:
+    """px joined to zones (zone, geometry in grid units) that hold its pixel centre, of the same values in the columns of `own` that both have."""
     at = px.withColumns({"cx": F.floor((F.col("col") + 0.5) / size), "cy": F.floor((F.col("row") + 0.5) / size)})
-    near = at.join(in_cells(with_bounds(zones.select("zone", "geometry")), size), ["cx", "cy"])
+    near = at.join(in_cells(with_bounds(zones.select(*(own or []), "zone", "geometry")), size), [*(own or []), "cx", "cy"])
     return near.filter(g.contains(F.col("geometry"), F.col("col") + 0.5, F.col("row") + 0.5)).drop("cx", "cy", "geometry", *BOX)
 
 
@@ -117,19 +118,28 @@ def zones_of(footprints: DataFrame, size: float, gap: float = 0.0) -> DataFrame:
     pairs = pairs.filter(g.intersects("lg", "rg")) if gap == 0 else pairs
     roots = merged(pairs.select(F.col("lid").alias("a"), F.col("rid").alias("b")))
     held = footprints.select("fid").join(roots.withColumnRenamed("node", "fid"), "fid", "left").withColumn("root", F.coalesce("root", "fid"))
-    # One row for each zone: numbering them takes one task, whatever the number of footprints.
-    numbers = held.select("root").distinct().withColumn("zone_id", F.format_string("ZONE_%03d", F.row_number().over(W.orderBy("root"))))
+    numbers = numbered(held.select("root").distinct(), ["root"], "_n").select("root", F.format_string("ZONE_%03d", "_n").alias("zone_id"))
     return held.join(numbers, "root").select("fid", "zone_id")
 
 
-def dissolved(df: DataFrame, keys: list[str], geometry: str = "geometry") -> DataFrame:
-    """The union of each group's geometries."""
-    return df.groupBy(*keys).agg(F.collect_list(geometry).alias("_all")).withColumn(geometry, g.union_of("_all")).drop("_all")
+def dissolved(df: DataFrame, keys: list[str], geometry: str = "geometry", fan: int = 64) -> DataFrame:
+    """The union of each group's geometries, in rounds: neighbours along the x axis are united `fan` at a time until a group is one, so no task holds a group's outlines."""
+    held = df.select(*keys, F.col(geometry).alias("_g")).filter(F.col("_g").isNotNull())
+    while held.groupBy(*keys).count().filter(F.col("count") > fan).limit(1).count():
+        x = g.bounds(F.col("_g"))
+        ranked = numbered(held.withColumns({"_x": x["xmin"], "_y": x["ymin"], "_h": F.xxhash64(F.to_json("_g"))}), [*keys, "_x", "_y", "_h"], "_n")
+        held = written(ranked.groupBy(*keys, F.floor(F.col("_n") / fan).alias("_p")).agg(F.collect_list("_g").alias("_all")).select(*keys, g.union_of("_all").alias("_g")), "outlines", "zstd")
+    return held.groupBy(*keys).agg(F.collect_list("_g").alias("_all")).select(*keys, g.union_of("_all").alias(geometry))
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "parcel_id") -> DataFrame:
-    """df with ids from 1 in a total order: rows are ranged over partitions and counted, so no one task sorts them all."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_numbered_part": F.spark_partition_id(), "_numbered_at": F.monotonically_increasing_id()})
-    inside = parts.withColumn("_numbered_n", F.row_number().over(W.partitionBy("_numbered_part").orderBy("_numbered_at")))
-    before = inside.groupBy("_numbered_part").agg(F.count("*").alias("_numbered_c")).withColumn("_numbered_before", F.coalesce(F.sum("_numbered_c").over(W.orderBy("_numbered_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return inside.join(before.select("_numbered_part", "_numbered_before"), "_numbered_part").withColumn(name, (F.col("_numbered_before") + F.col("_numbered_n")).cast("long")).drop("_numbered_part", "_numbered_at", "_numbered_n", "_numbered_before")
+    """df with ids from 1 in a total order: rows are ranged over partitions and counted, so no one task sorts them all.
+
+    Rows are written once with their partition and place in it, and counted from there: were the ranges computed again for the counts, their bounds
+    could be others. What is summed is a row for each partition.
+    """
+    at, part, before = (unused(n, df) for n in ("_at", "_part", "_before"))
+    held = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())).withColumn(part, F.shiftright(at, 33))
+    counts = held.groupBy(part).agg(F.count("*").alias("n")).select(part, F.coalesce(F.sum("n").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    number = F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return held.join(F.broadcast(counts), part).withColumn(name, number.cast("long")).drop(at, part, before)  # as many rows as partitions

@@ -34,7 +34,8 @@ class RasterSettings:
 def raster_run(pixels: DataFrame, zones: DataFrame, dem: DataFrame | None = None, settings: RasterSettings | None = None) -> tuple[DataFrame, DataFrame]:
     """(pixel layers by area and year, zonal table by area and year).
 
-    pixels: scene_id, area, year, row, col and the four bands of every scene; zones: zone, geometry in grid units; dem: row, col, dem.
+    pixels: scene_id, area, year, row, col and the four bands of every scene; zones: zone, geometry in grid units and, where they belong to one, area
+    (else a zone counts in every area); dem: row, col, dem.
     Years of an area lie on one grid. The loop over years is a window over each pixel's years.
     """
     s = settings or RasterSettings()
@@ -59,8 +60,10 @@ def raster_run(pixels: DataFrame, zones: DataFrame, dem: DataFrame | None = None
     layers = s.layers + [c for c in ("slope", "tpi", "curvature") if c in px.columns]
     # A zone of an area and year is one zone to the zonal table.
     per = px.select(*keys).distinct()
-    wide = zones.join(per).select(F.struct(*keys, "zone").alias("zone"))  # as many rows as the result has
-    joined = spatial.pixels_in_polygons(px, zones).withColumn("zone", F.struct(*keys, "zone"))
+    owned = "area" in zones.columns
+    # As many rows as the result has: a zone for each year of its area.
+    wide = (zones.join(per, "area") if owned else zones.crossJoin(F.broadcast(per))).select(F.struct(*keys, "zone").alias("zone"))  # one row for each area and year
+    joined = spatial.pixels_in_polygons(px, zones, own=["area"] if owned else []).withColumn("zone", F.struct(*keys, "zone"))
     sizes = comps.groupBy("comp_id").agg(F.count("*").alias("n_px"))
     table = spatial.zonal_table(joined, wide, layers, ["water", "change", "texture_anomaly", "hotspot", "persistence_water"], sizes, s.cell_area)
     return px, table.select("zone.area", "zone.year", F.col("zone.zone").alias("parcel_id"), *[c for c in table.columns if c != "zone"])

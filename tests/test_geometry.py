@@ -110,3 +110,47 @@ def test_areas_by_point_then_overlap(spark):
 def test_numbering_is_in_order(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k")).repartition(7)
     assert all(r.k + 1 == r.parcel_id for r in spatial.numbered(df, ["k"]).collect())
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_numbering_many_rows_with_other_columns(spark, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(400_000).select(F.xxhash64("id").alias("k"), F.md5(F.col("id").cast("string")).alias("payload"), F.lit(1).alias("_at"), F.lit(2).alias("_part"))
+        out = spatial.numbered(df, ["k"])
+        assert out.columns == ["k", "payload", "_at", "_part", "parcel_id"]
+        got = out.agg(F.count_distinct("parcel_id").alias("n"), F.min("parcel_id").alias("lo"), F.max("parcel_id").alias("hi"), F.min("_at").alias("a"), F.max("_part").alias("p")).first()
+        assert tuple(got) == (400_000, 1, 400_000, 1, 2)
+        bounds = out.groupBy(F.floor((F.col("parcel_id") - 1) / 1000).alias("g")).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("g").collect()
+        assert all(a.hi < b.lo for a, b in zip(bounds, bounds[1:]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_unions_in_rounds(spark):
+    box = g.box(F.col("x"), F.col("y"), F.col("x") + 1.5, F.col("y") + 1.0)
+    df = spark.range(60).select(F.pmod("id", F.lit(2)).alias("k"), (F.col("id") / 2).cast("int").cast("double").alias("x"), F.pmod(F.floor(F.col("id") / 2), F.lit(3)).cast("double").alias("y")).withColumn("geometry", box)
+    once = {r.k: r.a for r in spatial.dissolved(df, ["k"], fan=1000).select("k", g.area(F.col("geometry")).alias("a")).collect()}
+    rounds = {r.k: r.a for r in spatial.dissolved(df, ["k"], fan=4).select("k", g.area(F.col("geometry")).alias("a")).collect()}
+    assert set(once) == {0, 1} and all(abs(once[k] - rounds[k]) < 1e-9 for k in once)
+
+
+def test_columns_of_uneven_shapes(spark):
+    rng = random.Random(5)
+    ring = lambda n, cx, r: [(cx + r * math.cos(2 * math.pi * i / n), r * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    closed = lambda points: "(" + ", ".join(f"{x} {y}" for x, y in [*points, points[0]]) + ")"
+    rows = [(0, None, f"POLYGON ({closed(ring(5, 0, 1))})")]
+    for i in range(1, 40):
+        a = [ring(rng.randrange(3, 9), 0, 2)] + [ring(rng.randrange(3, 7), 0, 0.5)] * (i % 3 == 0)
+        b = [ring(rng.randrange(3, 9), rng.uniform(0, 3), 2)] + [ring(4, 9, 1)] * (i % 4 == 0)
+        rows.append((i, f"POLYGON ({', '.join(map(closed, a))})", f"MULTIPOLYGON ({', '.join(f'({closed(x)})' for x in b)})"))
+    df = spark.createDataFrame(rows, "i int, a string, b string").select("i", g.from_wkt(F.col("a")).alias("a"), g.from_wkt(F.col("b")).alias("b"))
+    size = lambda c: g.area(c)
+    got = df.select("i", size(F.col("a")).alias("a"), size(F.col("b")).alias("b"), size(g.intersection("a", "b")).alias("both"), size(g.difference("a", "b")).alias("less"), size(g.union_of(F.array("a", "b"))).alias("either"), g.intersects("a", "b").alias("hit"), size(g.made_valid("a")).alias("valid"), g.is_valid("a").alias("ok")).collect()
+    for r in got:
+        if r.i:
+            assert abs(r.a - r.both - r.less) < 1e-9 and abs(r.a + r.b - r.both - r.either) < 1e-9 and abs(r.valid - r.a) < 1e-9 and r.ok
+        else:
+            assert r.both == 0 and r.valid is None and r.ok is None
+        assert r.hit == (r.both > 0)
