@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,83 +11,48 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a table of narrow rows (some tens of bytes each) may be broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+from ..session import dropped, new_dir, written
 
-
-# ---------------------------------------------------------------- storage
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local runs)."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or getattr(sc, "_loamline_dir", None)
-    if not base:
-        if not sc.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = sc._loamline_dir = "file://" + tempfile.mkdtemp(prefix="loamline-")
-    return base.rstrip("/") + "/loamline"
+#: Bytes up to which a table may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 100 << 20
 
 
-#: Folders that this process made; they go when it ends, as results are read from them until then.
-MADE: list[str] = []
-
-
-def new_dir(spark: SparkSession, label: str) -> str:
-    MADE.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
-    return MADE[-1]
+# ---------------------------------------------------------------- storage
 
+#: Tables written to the folder that driver and executors share, and their end.
+materialise, discard = written, dropped
 
-@atexit.register
-def tidy() -> None:
-    for uri in MADE:
-        with contextlib.suppress(Exception):  # gone already, or in a store that only Spark reaches
-            fs, path = opened(uri)
-            fs.delete_dir(path)
+#: Names of schemes to Spark, and to Arrow's file systems.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
 
 
-def materialise(df: DataFrame, label: str, codec: str = "uncompressed") -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, and what was computed survives lost executors.
+def opened(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a URI, for binary files that executors write and read: local, HDFS, S3, Google and Azure stores, with what their machines are set up with.
 
-    Hashes and ids don't compress, and compressors take memory outside the heap; tables of texts are written with codec "zstd".
+    Any other scheme raises a ValueError that names it, on the driver before anything runs (new_files()).
     """
-    spark, path = df.sparkSession, new_dir(df.sparkSession, label)
-    df.write.option("compression", codec).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._loamline_path = path
-    return out
-
+    scheme, sep, rest = uri.partition("://")
+    if not sep and not uri.startswith("file:"):
+        return pafs.LocalFileSystem(), uri
+    try:
+        return pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + sep + rest if sep else uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+        raise ValueError(f"binary files can't be written under {uri!r}: Arrow has no file system for it; name a folder in another store ({e})") from e
 
-def discard(*tables: DataFrame) -> None:
-    """Deletes tables that materialise() made and no later plan reads."""
-    for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._loamline_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-
-def opened(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI, for binary files that executors write and read."""
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+def new_files(spark: SparkSession, label: str, directory: str | None = None) -> str:
+    """URI of a new folder for binary files (or the one given), once it is known that they can be written there."""
+    uri = directory or new_dir(spark, label)
+    opened(uri)
+    return uri
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count proves it small, else as it is."""
+def bounded(df: DataFrame, row_bytes: int = 100, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if a count proves that its rows, of row_bytes at most, are within most_bytes; else as it is."""
+    rows = most_bytes // row_bytes
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-#: Rows of an Arrow batch between Spark and Python where whole texts pass: Spark's 10,000 would hold gigabytes of long ones.
-BATCH_ROWS = 1000
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """df; from here on its session sends at most BATCH_ROWS rows in an Arrow batch."""
-    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return df
-
-
 # ---------------------------------------------------------------- words and hashes
 
 

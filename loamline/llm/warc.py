@@ -2,7 +2,12 @@
 
 Every record is a gzip member of its own. The reader deals an archive out as byte ranges: a task looks for gzip magic from the start of its
 range, tests a candidate by decoding the beginning of the member, which must read as a WARC header, and owns the records that
-start inside its range, read to their end wherever that is. Magic bytes that occur inside compressed data fail that test.
+start inside its range, read to their end wherever that is.
+
+A payload that is stored, not compressed, may hold whole WARC members, which pass that test too. So where an archive has several ranges they
+are settled first: each task follows the members from its first candidate to the first start beyond its range, and a small table of these
+ends, a row for each range, is walked archive by archive from its first byte. A range whose candidate is where the ranges before it end is confirmed;
+any other is followed anew from that place. Every split of an archive so gives the records that reading it from the start gives.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, batched, materialise, new_dir, opened, small_batches
+from .shared import BROADCAST_BYTES, batched, discard, materialise, new_files, opened
 from .tokenfiles import Put
 
 MAGIC = b"\x1f\x8b\x08"
@@ -87,13 +92,14 @@ def write_warc(pages: DataFrame, directory: str, least: int = 0) -> DataFrame:
     and the others revisit it; rows that share that page_id are all responses, and so are those without page_id. Extra columns
     are ignored, repeated rows are written as often as they come, an empty table makes no archive.
     """
-    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = rows.withColumn("sha", F.sha1("html"))
     firsts = keyed.filter(F.octet_length("html") >= least).groupBy("sha").agg(F.max("page_id").alias("first"), F.min("page_id").alias("low")).filter("low < first").select("sha", "first")
     firsts = materialise(firsts, "payloads")
-    n = firsts.limit(BROADCAST_ROWS + 1).count()
+    most = BROADCAST_BYTES // 100
+    n = firsts.limit(most + 1).count()
     # Only payloads that repeat are in this table; beyond the bound it is joined by a shuffle.
-    dealt = keyed.join(F.broadcast(firsts) if n <= BROADCAST_ROWS else firsts, "sha", "left") if n else keyed.withColumn("first", F.lit(None).cast("long"))
+    dealt = keyed.join(F.broadcast(firsts) if n <= most else firsts, "sha", "left") if n else keyed.withColumn("first", F.lit(None).cast("long"))
     refers_to = F.when(F.col("page_id") < F.col("first"), F.col("first"))
     return materialise(dealt.select("page_id", "url", "html", refers_to.alias("refers_to")).mapInArrow(archiver(directory), "uri string, bytes long, records long"), "archives")
 
@@ -114,19 +120,26 @@ class Window:
         return self.held[start - self.at : start - self.at + n]
 
 
-def inflate(data: Window, start: int, most: int | None = None) -> tuple[bytes, int] | None:
-    """The member at start and where it ends, or (with most) its first bytes; None if there is no whole member."""
+def inflate(data: Window, start: int, most: int | None = None, hold: bool = True) -> tuple[bytes, int] | None:
+    """The member at start (empty unless held) and where it ends, or (with most) its first bytes; None if there is no whole member."""
     z, out, at, size = zlib.decompressobj(31), [], start, 0
     while not z.eof:
         piece = data.get(at, CHUNK if most is None else 512)
         if not piece:
             return None
         try:
-            got = z.decompress(piece) if most is None else z.decompress(piece, most - size)
+            while True:  # what a piece inflates to is bounded: a small member may hold a very long run
+                got = z.decompress(piece, CHUNK * 4 if most is None else most - size)
+                size += len(got)
+                if hold:
+                    out.append(got)
+                piece_left = z.unconsumed_tail
+                if most is not None and size >= most or not piece_left:
+                    break
+                at += len(piece) - len(piece_left)
+                piece = piece_left
         except zlib.error:
             return None
-        out.append(got)
-        size += len(got)
         at += len(piece)
         if most is not None and size >= most:
             break
@@ -138,67 +151,142 @@ def starts_record(data: Window, at: int) -> bool:
     return head is not None and head[0].startswith(b"WARC/1.")
 
 
-def records(uri: str, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and bytes of each record that begins in [start, end) of a gzipped archive."""
-    data = Window(uri)
-    at = start
-    while at < min(end, data.size):
+def next_record(data: Window, at: int) -> int:
+    """The first place from `at` on where a whole member begins that reads as a WARC header; the file's size if there is none."""
+    while at < data.size:
         # The next magic: the piece read overlaps the following one by the magic's length less one.
-        piece = data.get(at, min(CHUNK, end - at + len(MAGIC) - 1))
+        piece = data.get(at, min(CHUNK, data.size - at))
         found = piece.find(MAGIC)
         if found < 0:
             at += max(1, len(piece) - len(MAGIC) + 1)
             continue
         at += found
-        if at >= end:
-            return
-        whole = inflate(data, at) if starts_record(data, at) else None
-        if whole is None:
-            at += 1
-            continue
-        yield at, whole[0]
-        at = whole[1]
+        if starts_record(data, at) and inflate(data, at, hold=False):
+            return at
+        at += 1
+    return data.size
+
+
+def walked(data: Window, at: int, end: int, hold: bool = True) -> Iterator[tuple[int, int, bytes, str | None]]:
+    """(offset, next offset, bytes, error) of what begins in [at, end), member by member; where none can be read, the error and how far it is to the next record."""
+    while at < min(end, data.size):
+        whole = inflate(data, at, hold=hold)
+        if whole is not None:
+            yield at, whole[1], whole[0], None
+            at = whole[1]
+        else:
+            after = next_record(data, at + 1)
+            yield at, after, b"", f"no whole gzip member in the {after - at} bytes from here"
+            at = after
+
+
+def end_of(data: Window, at: int, end: int) -> int:
+    """The first start at or beyond `end` that walking from `at` comes to."""
+    for _, at, _, _ in walked(data, at, end, hold=False):  # noqa: B007
+        pass
+    return at
+
+
+PROBES = "uri string, size long, start long, end long, head long, exit long"
 
 
-def fields_of(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields (names in lower case) and block of a record."""
+def prober(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first candidate of each range, and the first start beyond the range that it leads to."""
+    schema = pa.schema([(n, pa.string() if n == "uri" else pa.int64()) for n in ("uri", "size", "start", "end", "head", "exit")])
+
+    def made():
+        for batch in batches:
+            for row in batch.to_pylist():
+                uri, size, start, end = (row[c] for c in ("uri", "size", "start", "end"))
+                head, out = start, None
+                if end < size:  # nothing follows the last range
+                    data = Window(uri)
+                    head = 0 if start == 0 else next_record(data, start)
+                    out = end_of(data, head, end)
+                yield uri, size, start, end, head, out
+
+    yield from batched(made(), schema)
+
+
+ENTRIES = "uri string, entry long, end long"
+
+
+def settled(table: pa.Table) -> pa.Table:
+    """(uri, entry, end) of one archive's ranges that own records, from its probes: where the first member that begins in each range does."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["start"])
+    data, at, out = None, 0, []
+    for r in rows:
+        if at >= r["end"]:
+            continue  # one member spans the range
+        out.append({"uri": r["uri"], "entry": at, "end": r["end"]})
+        if r["head"] == at and r["exit"] is not None:
+            at = r["exit"]
+        elif r["end"] < r["size"]:
+            data = data or Window(r["uri"])
+            at = end_of(data, at, r["end"])
+    return pa.Table.from_pylist(out, schema=pa.schema([("uri", pa.string()), ("entry", pa.int64()), ("end", pa.int64())]))
+
+
+def fields_of(raw: bytes) -> tuple[dict[str, str], bytes, bytes]:
+    """Header fields (names in lower case) and block of a member's first record, and what follows it: further records, in archives that put several into a member."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     named = dict(line.partition(":")[::2] for line in head.decode("utf-8", "replace").split("\r\n")[1:])
     named = {k.strip().lower(): v.strip() for k, v in named.items()}
-    return named, rest[: int(named.get("content-length") or 0)]
+    size = int(named["content-length"]) if (named.get("content-length") or "").isdigit() else 0
+    return named, rest[:size], rest[size:].lstrip(b"\r\n")
 
 
-RECORDS = pa.schema([("uri", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("valid", pa.bool_()), ("payload", pa.binary())])
-RECORDS_DDL = "uri string, offset long, record_type string, record_id string, target_uri string, page_id long, refers_to long, payload_digest string, payload_bytes long, valid boolean, payload binary"
+RECORDS = pa.schema([("uri", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("valid", pa.bool_()), ("payload", pa.binary()), ("error", pa.string())])
+RECORDS_DDL = "uri string, offset long, record_type string, record_id string, target_uri string, page_id long, refers_to long, payload_digest string, payload_bytes long, valid boolean, payload binary, error string"
 
 
-def range_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def record_row(uri: str, offset: int, named: dict[str, str], block: bytes) -> tuple:
     number = lambda x: int(x) if x and x.lstrip("-").isdigit() else None
+    http, _, payload = block.partition(b"\r\n\r\n") if named.get("content-type", "").startswith("application/http") else (b"", b"", block)
+    said = named.get("warc-payload-digest", "").rpartition(":")[2] or None
+    kind = named.get("warc-type")
+    length = next((number(x.partition(b":")[2].strip().decode("latin-1")) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
+    own = digest(payload) if kind == "response" else said
+    size = len(payload) if kind == "response" else length
+    return uri, offset, kind, named.get("warc-record-id"), named.get("warc-target-uri"), number(named.get("x-page-id")), number(named.get("x-refers-to-page-id")), own, size, said is None or own == said, payload if kind != "revisit" else None, None
 
+
+def range_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def made():
         for batch in batches:
             for row in batch.to_pylist():
-                for offset, raw in records(row["uri"], row["start"], row["end"]):
-                    named, block = fields_of(raw)
-                    http, _, payload = block.partition(b"\r\n\r\n") if named.get("content-type", "").startswith("application/http") else (b"", b"", block)
-                    said = named.get("warc-payload-digest", "").rpartition(":")[2] or None
-                    kind = named.get("warc-type")
-                    length = next((number(x.partition(b":")[2].strip().decode()) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
-                    own = digest(payload) if kind == "response" else said
-                    size = len(payload) if kind == "response" else length
-                    yield row["uri"], offset, kind, named.get("warc-record-id"), named.get("warc-target-uri"), number(named.get("x-page-id")), number(named.get("x-refers-to-page-id")), own, size, said is None or own == said, payload if kind != "revisit" else None
+                data = Window(row["uri"])
+                for offset, _, raw, error in walked(data, row["entry"], row["end"]):
+                    if error is None and not raw.startswith(b"WARC/1."):
+                        error = "a gzip member that is no WARC record"
+                    if error is not None:
+                        yield (row["uri"], offset, *[None] * 7, False, None, error)
+                        continue
+                    while raw.startswith(b"WARC/1."):
+                        named, block, raw = fields_of(raw)
+                        yield record_row(row["uri"], offset, named, block)
 
     yield from batched(made(), RECORDS)
 
 
 def read_warc(archives: DataFrame, split: int = SPLIT) -> DataFrame:
-    """All records of the archives (uri, bytes), dealt out by byte ranges of `split`; payload is null for revisits, valid says whether the digest holds."""
+    """All records of the archives (uri, bytes), dealt out by byte ranges of `split`; payload is null for revisits, valid says whether the digest holds.
+
+    Bytes that are no whole member (a cut-off or damaged one) and members that are no record give a row each with their offset and an error, and
+    reading goes on at the next record after them. No archives, or empty ones, give no rows; an archive that is listed twice is read twice.
+    """
     last = F.greatest(F.ceil(F.col("bytes") / split).cast("long") - 1, F.lit(0).cast("long"))
-    ranges = archives.select("uri", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("i")).select("uri", (F.col("i") * split).alias("start"), ((F.col("i") + 1) * split).alias("end"))
-    n = max(1, archives.agg(F.sum(last + 1)).first()[0] or 1)
-    return ranges.repartition(min(n, 10_000), "uri", "start").mapInArrow(range_reader, RECORDS_DDL)
+    listed = archives.select("uri", F.col("bytes").cast("long").alias("bytes"))
+    n = max(1, listed.agg(F.sum(last + 1)).first()[0] or 1)
+    ranges = listed.distinct().select("uri", F.col("bytes").alias("size"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("i")).select("uri", "size", (F.col("i") * split).alias("start"), ((F.col("i") + 1) * split).alias("end"))
+    probes = materialise(ranges.repartition(min(n, 10_000)).mapInArrow(prober, PROBES), "probes")
+    entries = materialise(probes.groupBy("uri").applyInArrow(settled, ENTRIES), "entries")
+    discard(probes)
+    entries = entries.join(listed, "uri").select("uri", "entry", "end")
+    # Dealt in turn, so that every task has the same number of ranges.
+    return entries.repartition(min(n, 10_000)).mapInArrow(range_reader, RECORDS_DDL)
 
 
 def archived(pages: DataFrame, directory: str | None = None, least: int = 0, split: int = SPLIT) -> DataFrame:
     """Writes pages to archives in a new folder (or the one given) and reads them back."""
-    return read_warc(write_warc(pages, directory or new_dir(pages.sparkSession, "warc"), least), split)
+    return read_warc(write_warc(pages, new_files(pages.sparkSession, "warc", directory), least), split)
