@@ -4,8 +4,12 @@ Conversations that share their first turns share those turns' characters: sorted
 prefixes lie side by side, and one pass over a sorted partition walks the forest depth-first, emitting each turn once. A pack is a bounded
 piece of that walk: its text, one node for each turn (where it lies, its parent, the position of its first character in its own
 conversation, the spans of the pack it may attend to besides itself, and its loss span) and the conversations that end at its nodes.
-A shared prefix that crosses a pack or partition border is emitted again there, so no group of conversations, however large, meets in
-one task. A conversation too long for memory continues as further segments with positions that carry on.
+The order is by the digests of all turns, so any number of turns is shared. A shared prefix that crosses a pack or partition border is emitted
+again there, so no group of conversations, however large, meets in one task; a pack is at least four times as long as the conversation at
+its end, which keeps what is repeated below a quarter. A conversation too long for memory continues as further segments with positions that carry on.
+
+with_tokens() gives packs their token ids: each turn is encoded by itself, so shared turns have the same ids whatever follows, and the
+nodes' places, positions, attention and loss spans once more, counted in tokens.
 
 Template: <|im_start|>ROLE newline TEXT <|im_end|> newline for each turn. Inside texts and roles "&" is written "&amp;" and "<|" is
 written "&lt;|" (and a newline in a role "&#10;"), so no text can hold a control string and reading back gives it exactly.
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import batched, materialise
+from .tokenfiles import word_tokens
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: A conversation is cut into segments of so many turns or characters at most (one longer turn makes a segment of its own).
-SEGMENT_TURNS, SEGMENT_CHARS = 4096, 4_000_000
-#: A pack is closed once its text is longer than this.
-PACK_CHARS = 1_000_000
-#: Turns whose digests order the conversations.
-PATH_TURNS = 24
+SEGMENT_TURNS, SEGMENT_CHARS = 1024, 4_000_000
+#: A pack is closed once its text is longer than this, and than PACK_SHARE times the conversation just added.
+PACK_CHARS, PACK_SHARE = 1_000_000, 4
+#: Bytes of a turn's chained digest in the order of conversations: should two meet, a shared turn is emitted twice, no more.
+MARK = 4
 
 
 def escape(text: str) -> str:
@@ -55,7 +61,7 @@ def parse_turn(formatted: str) -> tuple[str, str]:
 
 
 TURN = pa.struct([("role", pa.string()), ("text", pa.string())])
-SEGMENTS = pa.schema([("conv_id", pa.int64()), ("seg", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("more", pa.bool_()), ("turns", pa.list_(TURN))])
+SEGMENTS = pa.schema([("conv_id", pa.int64()), ("seg", pa.int64()), ("path", pa.binary()), ("offset", pa.int64()), ("more", pa.bool_()), ("turns", pa.list_(TURN))])
 
 
 def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,10 +72,10 @@ def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: list[dict] = []
         seg = chars = offset = 0
         chain = b""
-        path: list[str] = []
+        path: list[bytes] = []
 
         def segment(more: bool) -> tuple:
-            return at, seg, "".join(path), offset, more, turns
+            return at, seg, b"".join(path), offset, more, turns
 
         for batch in batches:
             for conv, _, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -80,10 +86,9 @@ def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 elif len(turns) >= SEGMENT_TURNS or chars >= SEGMENT_CHARS:
                     yield segment(True)
                     offset += chars
-                    turns, seg, chars, path = [], seg + 1, 0, [chain.hex()[:8]]
+                    turns, seg, chars, path = [], seg + 1, 0, [chain[:MARK]]
                 chain = hashlib.sha256(chain + role.encode("utf-8", "surrogatepass") + b"\0" + text.encode("utf-8", "surrogatepass")).digest()
-                if len(path) < PATH_TURNS:
-                    path.append(chain.hex()[:8])
+                path.append(chain[:MARK])
                 turns.append({"role": role, "text": text})
                 chars += len(turn_text(role, text)[0])
         if turns:
@@ -147,7 +152,8 @@ def pack_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 pack.add(row)
-                if pack.chars > PACK_CHARS or len(pack.leaves) >= 20_000:
+                last = pack.nodes[pack.leaves[-1]["node"]]
+                if pack.chars > max(PACK_CHARS, PACK_SHARE * (last["position"] + last["end"] - last["start"] - row["offset"])) or len(pack.leaves) >= 20_000:
                     yield "".join(pack.pieces), pack.nodes, pack.leaves
                     pack = Pack()
         if pack.leaves:
@@ -161,12 +167,53 @@ def chat_packs(rows: DataFrame) -> DataFrame:
 
     Turns come in the order of turn, then role and text where that ties; null turns first. A null role or text is empty; rows with
     a null conv_id make one conversation; repeated rows are turns of their own. Extra columns are ignored; no rows, no packs.
+    A conversation's turns pass through one task, segment by segment, as each one's place depends on those before it.
     """
     own = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    segments = own.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(assemble, "conv_id long, seg long, path string, offset long, more boolean, turns array<struct<role: string, text: string>>")
+    segments = own.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(assemble, "conv_id long, seg long, path binary, offset long, more boolean, turns array<struct<role: string, text: string>>")
     return segments.repartitionByRange("path", "conv_id", "seg").sortWithinPartitions("path", "conv_id", "seg").mapInArrow(pack_up, PACKS_DDL)
 
 
+TOKENS_DDL = "ids array<int>, token_nodes array<struct<parent: long, start: long, end: long, position: long, loss_start: long, loss_end: long, attends: array<struct<start: long, end: long>>>>"
+
+
+def encoder(tokenizer: str):
+    """Adds ids and token_nodes to packs (text, nodes, leaves)."""
+    schema = pa.schema([*PACKS, ("ids", pa.list_(pa.int32())), ("token_nodes", pa.list_(NODE))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made():
+            tokens = None
+            for batch in batches:
+                for pack in batch.to_pylist():
+                    tokens = tokens or word_tokens(tokenizer)
+                    text, nodes = pack["text"], pack["nodes"]
+                    # Head, text and end of each turn, so that the loss is of whole tokens.
+                    cuts = [(n["start"], n["loss_start"], n["loss_end"], n["end"]) if n["loss_start"] is not None else (n["start"], n["end"], n["end"], n["end"]) for n in nodes]
+                    pieces = tokens.encode([text[a:b] for c in cuts for a, b in pairwise(c)])
+                    ids, own, at = [], [], 0
+                    place: dict[int, int] = {}
+                    for i, n in enumerate(nodes):
+                        head, body, tail = (len(p) for p in pieces[3 * i : 3 * i + 3])
+                        size = head + body + tail
+                        place[n["start"]], place[n["end"]] = at, at + size
+                        above = own[n["parent"]] if n["parent"] >= 0 else None
+                        loss = n["loss_start"] is not None
+                        own.append({"parent": n["parent"], "start": at, "end": at + size, "position": above["position"] + above["end"] - above["start"] if above else 0, "loss_start": at + head if loss else None, "loss_end": at + head + body if loss else None, "attends": [{"start": place[s["start"]], "end": place[s["end"]]} for s in n["attends"]]})
+                        ids += pieces[3 * i : 3 * i + 3]
+                        at += size
+                    yield text, nodes, pack["leaves"], np.concatenate(ids).astype(np.int32).tolist(), own
+
+        yield from batched(made(), schema, 4)
+
+    return run
+
+
+def with_tokens(packs: DataFrame, tokenizer: str) -> DataFrame:
+    """packs with `ids`, the token ids of all turns in the order of the nodes, and `token_nodes`, the nodes in tokens. Positions count from a segment's first token."""
+    return packs.select("text", "nodes", "leaves").mapInArrow(encoder(tokenizer), f"{PACKS_DDL}, {TOKENS_DDL}")
+
+
 def expand(text: str, nodes: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Position ids, loss mask and attention matrix (row attends to column) of a pack, one place for each character. For tests and small packs."""
     n = len(text)
