@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -102,12 +103,38 @@ def mixture(docs: DataFrame, evenness: float | None = 0.93, most_repeats: float
 
 
 def mixed_docs(docs: DataFrame, **options) -> DataFrame:
-    """docs in their own columns, each as often as its mixture takes it."""
-    taken = mixture(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_taken"))
-    taken = bounded(materialise(taken, "taken"))
-    # doc_id is unique after near-duplicates went; should it repeat (or be null), its rows share the count.
-    rows = bounded(materialise(docs.filter(token_count(F.col("text").cast("string")) > 0).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")).filter("_rows > 1"), "repeats"))
-    held = docs.join(taken, docs.doc_id.eqNullSafe(taken["_id"])).drop("_id")
-    held = held.join(rows, docs.doc_id.eqNullSafe(rows["_id"]), "left").drop("_id").filter(token_count(F.col("text").cast("string")) > 0)
-    times = F.ceil(F.col("_taken") / F.coalesce("_rows", F.lit(1))).cast("int")
-    return held.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    """docs in their own columns, each row as often as its mixture takes it, in the order of block and place.
+
+    The order is that of partitions and of rows in them: written to files, the table is the mixture as it is to be read, and file_order() finds it again.
+    Rows that share a doc_id (or have none) are told apart by source, tokens and a digest of the whole row.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), token_count(F.col("text").cast("string")).alias("tokens")).filter("tokens > 0")
+    plan = materialise(mixture(docs, **options).withColumnRenamed("doc_id", "id"), "mixture")
+    several = materialise(docs.groupBy(F.col("doc_id").cast("long").alias("other")).count().filter("count > 1").select("other"), "repeats")
+    same = F.col("id").eqNullSafe(F.col("other"))
+    take = plan.select(F.col("id").alias("pid"), "block", "place")
+    if not several.limit(1).count():
+        held = rows.join(bounded(take), F.col("id").eqNullSafe(F.col("pid")))
+    else:
+        few = bounded(several)
+        alone = rows.join(few, same, "left_anti").join(bounded(plan.join(few, same, "left_anti").select(F.col("id").alias("pid"), "block", "place")), F.col("id").eqNullSafe(F.col("pid")))
+        # The n-th of the rows alike goes where the n-th of the mixture's does.
+        like = ["id", "source", "tokens"]
+        own = rows.join(few, same, "left_semi").withColumn("nth", F.row_number().over(W.partitionBy(*like).orderBy(F.md5(F.to_json("row")))))
+        theirs = plan.join(few, same, "left_semi").withColumn("nth", F.row_number().over(W.partitionBy(*like, "epoch").orderBy("block", "place")))
+        theirs = theirs.select(F.col("id").alias("pid"), F.col("source").alias("psource"), F.col("tokens").alias("ptokens"), F.col("nth").alias("pnth"), "block", "place")
+        alike = F.col("id").eqNullSafe(F.col("pid")) & (F.col("source") == F.col("psource")) & (F.col("tokens") == F.col("ptokens")) & (F.col("nth") == F.col("pnth"))
+        held = alone.select("row", "block", "place").unionByName(own.join(theirs, alike).select("row", "block", "place"))
+    return held.select("row", "block", "place").repartitionByRange("block", "place").sortWithinPartitions("block", "place").select("row.*")
+
+
+def file_order(docs: DataFrame) -> list[Column] | None:
+    """Columns that order the rows of a table read from Parquet files as they were written, by number of the file and row in it; None for any other table."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        name, row = place["file_name"], place["row_index"]
+        docs.select(name, row).schema  # noqa: B018
+    except AnalysisException:
+        return None
+    return [F.coalesce(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), F.lit(-1).cast("long")), name, row]

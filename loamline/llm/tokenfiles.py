@@ -1,6 +1,6 @@
 """Token files: Arrow streams whose batches hold fixed-size lists, so sequences and masks of equal length are read in place.
 
-Documents are dealt out by ranges of doc_id; each range becomes a shard of two files. `seq-*.arrow` holds the ids of its
+Documents are dealt out by ranges of doc_id (or of another order); each range becomes a shard of two files. `seq-*.arrow` holds the ids of its
 documents one after another, cut to sequences of `length`: columns ids and mask are fixed-size lists, every batch but the last holds the
 same number of sequences, and only the last sequence of a shard is padded (its mask is false there). A mapped file gives sequence i as a slice
 of its batch's buffer, with no copy. `doc-*.arrow` holds doc_id, start in the shard and n_tokens.
@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.ipc as ipc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import batched, materialise, new_dir, opened
+from .shared import batched, materialise, new_files, opened
 
 LENGTH = 2048
 #: Sequences in a batch.
@@ -194,15 +194,17 @@ def writer(directory: str, tokenizer: str, end_id: int | None, length: int):
     return run
 
 
-def write_tokens(docs: DataFrame, directory: str, tokenizer: str, end_id: int | None, length: int = LENGTH) -> DataFrame:
-    """Writes docs (doc_id, text) in ascending doc_id order; returns one row for each shard, with the ids of all shards before it as `start`.
+def write_tokens(docs: DataFrame, directory: str, tokenizer: str, end_id: int | None, length: int = LENGTH, order: list[Column] | None = None) -> DataFrame:
+    """Writes docs (doc_id, text) in ascending doc_id order, or by the columns of `order`; returns one row for each shard, with the ids of all shards before it as `start`.
 
     A null text is empty, a null doc_id sorts first, repeated rows are written as often as they come, equal doc_ids in order
-    of their texts. Extra columns are ignored. An empty table makes no file.
+    of their texts and in one shard, which is written as a stream. Extra columns are ignored. An empty table makes no file.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     # Ranges are of doc_id alone: their bounds come from a sample sent to the driver, which holds no texts.
-    sorted_ = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keys = [f"order_{i}" for i in range(len(order or []))]
+    texts = docs.select(*own, *[c.alias(k) for k, c in zip(keys, order or [], strict=True)])
+    sorted_ = texts.repartitionByRange(*(keys or ["doc_id"])).sortWithinPartitions(*(keys or ["doc_id", "text"])).select("doc_id", "text")
     shards = materialise(sorted_.mapInArrow(writer(directory, tokenizer, end_id, length), "shard long, seq_uri string, doc_uri string, n_docs long, n_tokens long, n_sequences long"), "shards")
     # One row for each file: a window without a key is small.
     return shards.withColumn("start", F.coalesce(F.sum("n_tokens").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")))
@@ -269,9 +271,9 @@ def reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_tokens(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files: one task reads a shard at a time."""
     n = max(1, shards.count())
-    return shards.select("seq_uri", "doc_uri", "start").repartition(n, "seq_uri").mapInArrow(reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.select("seq_uri", "doc_uri", "start").repartition(n).mapInArrow(reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_output(docs: DataFrame, tokenizer: str, end_id: int | None, length: int = LENGTH, directory: str | None = None) -> DataFrame:
+def token_output(docs: DataFrame, tokenizer: str, end_id: int | None, length: int = LENGTH, directory: str | None = None, order: list[Column] | None = None) -> DataFrame:
     """Writes docs to token files in a new folder (or the one given) and returns what reading them gives."""
-    return read_tokens(write_tokens(docs, directory or new_dir(docs.sparkSession, "tokens"), tokenizer, end_id, length))
+    return read_tokens(write_tokens(docs, new_files(docs.sparkSession, "tokens", directory), tokenizer, end_id, length, order))

@@ -101,3 +101,36 @@ def test_no_python_runs_on_executors(spark, sf_dir):
     df = mixing.mixture(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     plan = df._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct"))
+
+
+def test_files_hold_the_mixture_in_its_order(spark, tmp_path):
+    df = table(spark, {"big": (300, 40), "mid": (100, 30), "small": (30, 20)})
+    options = {"block_tokens": 700}
+    want = [r.doc_id for r in mixing.mixture(df, **options).orderBy("block", "place").collect()]
+    mixing.mixed_docs(df, **options).write.parquet(f"{tmp_path}/m")
+    back = spark.read.parquet(f"{tmp_path}/m")
+    order = mixing.file_order(back)
+    assert [r.doc_id for r in back.orderBy(*order).collect()] == want and want != sorted(want)
+    assert mixing.file_order(df) is None
+    # Sources alternate: no third of the order lacks one.
+    sources = [r.source for r in back.orderBy(*order).collect()]
+    assert all({"big", "mid", "small"} == set(sources[i : i + len(sources) // 3]) for i in (0, len(sources) // 3, len(sources) * 2 // 3 - 1))
+
+
+def test_rows_that_share_an_id_come_as_often_as_the_mixture_takes_them(spark):
+    rows = [(1, "a " * 10, "s"), (1, "b " * 10, "s"), (1, "c " * 10, "s"), (1, "d " * 12, "t"), (None, "e " * 10, "s"), (None, "f " * 10, "s"), (2, "g " * 10, "s"), (2, "g " * 10, "s")] + [(10 + i, "x " * 10, "s") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for options in ({}, {"budget": 250}, {"budget": 900, "most_repeats": 50.0, "evenness": 0.99}):
+        took = Counter((r.doc_id, r.source, r.tokens) for r in mixing.mixture(df, **options).collect())
+        got = Counter((r.doc_id, r.source, len(r.text.split())) for r in mixing.mixed_docs(df, **options).collect())
+        assert got == took
+    whole = Counter(r.text for r in mixing.mixed_docs(df).collect())
+    assert all(whole[t] >= sum(r[1] == t for r in rows) for t in {r[1] for r in rows})
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    names = ["_id", "_taken", "_rows", "_copy", "row", "id", "place", "other", "tokens", "nth", "_metadata"]
+    rows = [(i % 20, "w " * (5 + i % 3), "s" if i % 4 else "t", *[f"{n}{i}" for n in names]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    out = mixing.mixed_docs(df)
+    assert out.columns == df.columns and set(map(tuple, out.collect())) == set(rows)
