@@ -3,8 +3,9 @@
 1. language ID: documents whose language can't be told go.
 2. near-duplicates (five-word shingles, similarity 0.8): the smallest doc_id of each group stays.
 3. benchmark decontamination: documents that hold a benchmark item go.
-4. mixing: small sources are repeated, up to twice, towards even weights; every document comes at least once.
-5. token files: the mixture's ids in Arrow files, read back as one row for each document.
+4. mixing: small sources are repeated, up to twice, towards even weights; every document comes at least once. The stage's files hold the
+   mixture in the order of its blocks and the places in them.
+5. token files: the mixture's ids in Arrow files, in that order, read back as one row for each document.
 """
 
 from __future__ import annotations
@@ -38,13 +39,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: documents of small sources come up to twice, all at least once."""
+    """The mixture, in its order: documents of small sources come up to twice, all at least once."""
     return mixing.mixed_docs(docs, evenness=0.93, most_repeats=2.0)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document, from the token files."""
-    return tokenfiles.token_output(docs, public_tokenizers.path(TOKENIZER), END_ID)
+    """doc_id, start, n_tokens and ids_crc32 of every document, from the token files; these follow the order of docs' files (doc_id, if docs come from none)."""
+    return tokenfiles.token_output(docs, public_tokenizers.path(TOKENIZER), END_ID, order=mixing.file_order(docs))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
