@@ -1,10 +1,14 @@
 """The stages against brute force on a small table."""
 
+from collections import Counter
+
 import corpus_pipeline
 import public_tokenizers
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
+from loamline.llm import mixing
+
 from .test_decontam import brute as leaks
 from .test_neardup import brute as groups
 
@@ -30,11 +34,15 @@ def test_stages(spark, sf_dir):
     assert {r.doc_id for r in before if r.text.split()} == {r.doc_id for r in after}
     rows = sorted(corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect(), key=lambda r: r.start)
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    # The token files hold the mixture in the order of its blocks and places.
+    mixture = mixing.mixture(spark.createDataFrame(before, docs.schema), evenness=0.93, most_repeats=2.0).orderBy("block", "place").collect()
+    text = {d.doc_id: d.text for d in after}
     at = 0
-    for r, d in zip(rows, sorted(after, key=lambda d: d.doc_id), strict=True):
-        n = len(t.encode(d.text, add_special_tokens=False).ids) + 1
-        assert (r.doc_id, r.start, r.n_tokens) == (d.doc_id, at, n)
+    for r, m in zip(rows, mixture, strict=True):
+        n = len(t.encode(text[m.doc_id], add_special_tokens=False).ids) + 1
+        assert (r.doc_id, r.start, r.n_tokens) == (m.doc_id, at, n)
         at += n
+    assert Counter(d.doc_id for d in after) == Counter(m.doc_id for m in mixture)
 
 
 def test_run(spark, sf_dir):
