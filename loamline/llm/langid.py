@@ -2,27 +2,34 @@
 
 Three kinds of evidence about a document are multiplied: the likelihood of its text under byte-trigram models, the likelihood of the language
 that its markup or metadata declares (how often texts of each language declare which, by grouped counts), and a prior of its host. Host priors are smoothed
-by the host's address suffix, and those by all documents: counts of what the texts say, by grouped aggregation over the whole table.
+by the host's address suffix (or the family of names it belongs to), and those by all documents: counts of what the texts say, by grouped aggregation
+over the whole table. The label that the models are fitted on is no evidence: a declaration is the markup's, or another column's.
+
+The models run over the texts once; their likelihoods are written with the hosts and declarations, and all counts and posteriors come from that table.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import bounded, materialise
+from ..session import unused
+from .shared import bounded, discard, materialise
 
 #: Slots of the trigram tables, and bytes scored at a time.
 SLOTS, PIECE = 1 << 16, 1 << 20
 #: The models are fitted on at most so many labelled documents a language, and so many characters from the middle of each: a bounded sample by md5 of doc_id.
 SAMPLE_DOCS, SAMPLE_CHARS = 300, 20_000
+#: Labels that name more languages than this are refused: a model is half a megabyte on the driver, and a column with thousands of values holds something else.
+MOST_LANGUAGES = 400
 #: The model of a language with fewer labelled documents is mixed with this share of what all languages' documents hold.
 LEAST_DOCS, SHARED = 10, 0.2
 #: Trigrams overlap and depend on each other; their log-likelihood counts for this share.
@@ -59,28 +66,38 @@ class Model:
         return total, n
 
 
+def counted(rows: pd.DataFrame) -> pd.DataFrame:
+    """Documents and trigram counts of a language's sample; a document counts alike whatever its length, so long ones don't make the model."""
+    total = np.zeros(SLOTS)
+    for text in rows.sort_values(["mark", "piece"])["piece"]:
+        found = np.bincount(slots_of(text), minlength=SLOTS)
+        total += found * (1000 / max(1000, found.sum()))
+    return pd.DataFrame({"label": [rows["label"].iloc[0]], "n": [len(rows)], "counts": [total]})
+
+
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id") -> Model:
-    """Trigram models of all languages that label names, from a bounded sample of their documents; labels that are empty or "und" name none."""
-    usable = docs.filter((F.trim(label) != "") & (F.col(label) != UNKNOWN) & (F.length(text) > 0))
-    counts = {r[0]: r[1] for r in usable.groupBy(label).count().collect()}
-    mark = F.md5(F.coalesce(F.col(key).cast("string"), F.col(text)))
-    large = {lang: n for lang, n in sorted(counts.items()) if n > 1.3 * SAMPLE_DOCS}
-    keep = ~F.col(label).isin(list(large))
-    for lang, n in large.items():
-        keep = keep | (F.col(label) == lang) & (F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") < 2.0**32 * 1.3 * SAMPLE_DOCS / n)
-    piece = F.substring(F.col(text), F.greatest(F.lit(1), F.floor((F.length(text) - SAMPLE_CHARS) / 2).cast("int") + 1), F.lit(SAMPLE_CHARS))
-    rows = usable.filter(keep).select(F.col(label).alias("label"), mark.alias("mark"), piece.alias("text")).orderBy("mark").limit(2 * SAMPLE_DOCS * max(1, len(counts))).collect()
-    held: Counter[str] = Counter()
-    seen: dict[str, np.ndarray] = {}
-    for r in rows:
-        if held[r.label] < SAMPLE_DOCS:
-            found = np.bincount(slots_of(r.text), minlength=SLOTS)
-            if found.any():
-                held[r.label] += 1
-                # A document counts alike whatever its length, so long ones don't make the model.
-                seen[r.label] = seen.get(r.label, 0) + found * (1000 / max(1000, found.sum()))
-    if not seen:
+    """Trigram models of all languages that label names, from a bounded sample of their documents; labels that are empty or "und" name none.
+
+    The sample is drawn and counted by tasks, one language in each: the driver holds one row of counts a language, and no text. More than
+    MOST_LANGUAGES labels raise a ValueError.
+    """
+    text_ = F.col(text).cast("string")
+    piece = F.substring(text_, F.greatest(F.lit(1), F.floor((F.length(text_) - SAMPLE_CHARS) / 2).cast("int") + 1), F.lit(SAMPLE_CHARS))
+    usable = docs.select(F.trim(F.col(label).cast("string")).alias("label"), F.md5(F.coalesce(F.col(key).cast("string"), text_)).alias("mark"), piece.alias("piece"))
+    usable = usable.filter((F.col("label") != "") & (F.col("label") != UNKNOWN) & F.col("piece").rlike(r"[A-Za-z]|[^\x00-\x7F]"))
+    counts = {r[0]: r[1] for r in usable.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{label} names more than {MOST_LANGUAGES} languages")
+    # Of a large language's documents about a third more than the sample are drawn before they are ranked.
+    keep = ~F.col("label").isin([lang for lang, n in counts.items() if n > 1.3 * SAMPLE_DOCS])
+    for lang, n in sorted(counts.items()):
+        if n > 1.3 * SAMPLE_DOCS:
+            keep = keep | (F.col("label") == lang) & (F.conv(F.substring("mark", 1, 8), 16, 10).cast("double") < 2.0**32 * 1.3 * SAMPLE_DOCS / n)
+    drawn = usable.filter(keep).withColumn("place", F.row_number().over(W.partitionBy("label").orderBy("mark", "piece"))).filter(F.col("place") <= SAMPLE_DOCS)
+    rows = drawn.groupBy("label").applyInPandas(counted, "label string, n int, counts array<double>").collect()
+    if not rows:
         return Model([UNKNOWN], np.zeros((SLOTS, 1), np.float32))
+    held, seen = {r.label: r.n for r in rows}, {r.label: np.array(r.counts) for r in rows}
     # Counts are brought to the same total, so that what a language has not shown costs alike in each, however few its documents.
     languages, most = sorted(seen), max(c.sum() for c in seen.values())
     common = sum(seen.values())
@@ -123,6 +140,11 @@ def suffix_of(host: Column) -> Column:
     return F.coalesce(F.regexp_extract(host, r"\.([a-z]{2,})\.?$", 1), F.lit(""))
 
 
+def family_of(host: Column) -> Column:
+    """What a host's prior is smoothed by: its suffix, or for a name without dots the letters it begins with; "" for neither."""
+    return F.coalesce(F.nullif(suffix_of(host), F.lit("")), F.when(~host.contains("."), F.regexp_extract(host, r"^([a-z]*)", 1)), F.lit(""))
+
+
 def argmax(values: Column) -> Column:
     """Place of the first largest value, from 0."""
     return F.array_position(values, F.array_max(values)).cast("int") - 1
@@ -150,49 +172,63 @@ def priors(stats: DataFrame, k: int) -> tuple[DataFrame, list[float], DataFrame]
     return hosts, overall, declared.select("declared", F.transform(F.col("counts"), lambda c, i: F.struct(c.alias("c"), i.alias("i"))).alias("counts"), F.array(*[F.lit(float(c or 0)) for c in of_language]).alias("sizes"))
 
 
-def identified(docs: DataFrame, model: Model, text: str = "text", host: Column | None = None, declared: Column | None = None, least: float = 0.5) -> DataFrame:
-    """docs with _lang, _posterior, _text_lang, _declared, _host and _kept; see identify()."""
+def right_log(counts: Column, sizes: Column, names: Column, k: int) -> Column:
+    """Log-likelihood of a declaration under each language, from how often texts of each language declare it."""
+    at = lambda x: x["i"].cast("int")
+    guess = lambda x: F.when(F.col("declared") == F.get(names, at(x)), F.lit(0.9)).otherwise(F.lit(0.1 / max(1, k - 1)))
+    return F.transform(counts, lambda x: F.ln((x["c"] + F.lit(STRENGTH) * guess(x)) / (F.get(sizes, at(x)) + F.lit(STRENGTH))))
+
+
+def judged(texts: DataFrame, keys: list[str], model: Model, least: float) -> DataFrame:
+    """keys, lang, posterior, text_lang, declared, host and kept of texts (keys, text, address, told); see identify()."""
     k = len(model.languages)
     names = F.array(*[F.lit(x) for x in model.languages])
-    where = F.coalesce(host_of(host.cast("string")), F.lit("")) if host is not None else F.lit("")
-    seen = docs.withColumns({"_s": scored(model, F.col(text).cast("string"), (declared if declared is not None else F.lit(None)).cast("string")), "_host": where})
-    best = F.when(F.col("_s.n") > 0, argmax(F.col("_s.ll")))
-    stats = seen.select(F.col("_host").alias("host"), suffix_of(F.col("_host")).alias("suffix"), F.col("_s.declared").alias("declared"), best.alias("best")).groupBy("host", "suffix", "declared", "best").agg(F.count("*").alias("n"))
-    # Filtered once it is written: a filter on what the model says would be pushed below the counts, and the model run twice.
-    stats = materialise(stats, "language-counts").filter("best is not null")
+    where = F.coalesce(host_of(F.col("address")), F.lit(""))
+    seen = texts.select(*keys, where.alias("host"), scored(model, F.col("text"), F.col("told")).alias("s")).select(*keys, "host", "s.ll", "s.n", "s.declared")
+    seen = materialise(seen, "likelihoods")
+    best = F.when(F.col("n") > 0, argmax(F.col("ll")))
+    stats = seen.select("host", family_of(F.col("host")).alias("suffix"), "declared", best.alias("best")).filter("best is not null").groupBy("host", "suffix", "declared", "best").agg(F.count("*").alias("n"))
+    stats = materialise(stats, "language-counts")
     hosts, overall, said = priors(stats, k)
-    right = F.transform(F.col("counts"), lambda x: (x["c"] + F.lit(STRENGTH) * F.when(F.col("declared") == F.get(names, x["i"].cast("int")), F.lit(0.9)).otherwise(F.lit(0.1 / max(1, k - 1)))) / (F.get(F.col("sizes"), x["i"].cast("int")) + F.lit(STRENGTH)))
-    said = bounded(materialise(said.select("declared", F.transform(right, F.ln).alias("told")), "declared"))
-    hosts = bounded(materialise(hosts, "hosts"))
-    joined = seen.join(hosts.select(F.col("host").alias("_host"), F.col("prior").alias("_prior")), "_host", "left")
-    joined = joined.join(said.select(F.col("declared").alias("_said"), F.col("told").alias("_told")), F.col("_s.declared") == F.col("_said"), "left").drop("_said")
+    said = bounded(materialise(said.select(F.col("declared").alias("said"), right_log(F.col("counts"), F.col("sizes"), names, k).alias("told")), "declared"), 60 + 8 * k)
+    hosts = bounded(materialise(hosts.select(F.col("host").alias("at"), "prior"), "hosts"), 100 + 8 * k)
+    discard(stats)
+    joined = seen.join(hosts, F.col("host") == F.col("at"), "left").join(said, F.col("declared") == F.col("said"), "left")
     base = F.array(*[F.lit(float(np.log(p))) for p in overall])
     zeros = F.array(*[F.lit(0.0)] * k)
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    joined = joined.withColumn("_score", add(add(F.col("_s.ll"), F.coalesce("_prior", base)), F.coalesce("_told", zeros)))
-    top = F.array_max("_score")
-    posterior = F.lit(1.0) / F.aggregate(F.col("_score"), F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    sure = (F.col("_s.n") > 0) & (posterior >= least) & F.lit(model.languages != [UNKNOWN])
-    out = joined.withColumns({"_posterior": F.round(posterior, 6), "_lang": F.when(sure, F.get(names, argmax(F.col("_score")))).otherwise(F.lit(UNKNOWN)), "_text_lang": F.coalesce(F.get(names, best), F.lit(UNKNOWN)), "_declared": F.col("_s.declared")})
-    return out.withColumn("_kept", F.col("_lang") != UNKNOWN).drop("_s", "_score", "_prior", "_told")
+    joined = joined.withColumn("score", add(add(F.col("ll"), F.coalesce("prior", base)), F.coalesce("told", zeros)))
+    top = F.array_max("score")
+    posterior = F.lit(1.0) / F.aggregate(F.col("score"), F.lit(0.0), lambda a, x: a + F.exp(x - top))
+    fitted = model.languages != [UNKNOWN]
+    sure = (F.col("n") > 0) & (posterior >= least)
+    lang = F.when(sure & F.lit(fitted), F.get(names, argmax(F.col("score")))).otherwise(F.lit(UNKNOWN))
+    return joined.select(*keys, lang.alias("lang"), F.round(posterior, 6).alias("posterior"), F.coalesce(F.get(names, best), F.lit(UNKNOWN)).alias("text_lang"), "declared", "host", sure.alias("kept"))
 
 
-def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str | None = "source", declared: str | None = "lang", label: str | None = "lang", model: Model | None = None, least: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str | None = "source", declared: str | None = None, label: str | None = "lang", model: Model | None = None, least: float = 0.5) -> DataFrame:
     """(key, lang, posterior, text_lang, declared, host, kept) for each row.
 
     text: the column scored whole. host: an address or a host name. declared: a column that names a language, unless the text's own markup
-    does. model: fitted by fit() on the label column where it is not given. lang is "und", and kept false, for texts without letters (null and
-    empty ones too) and where no language's posterior reaches `least`; any other document is kept. Null hosts or declarations are no evidence;
+    does; not the label's, which would tell the models what they learned from it. model: fitted by fit() on the label column where it is not given. lang is
+    "und", and kept false, for texts without letters (null and empty ones too) and where no language's posterior reaches `least`; any other document is kept.
+    Where no label names a language there is no model: every lang is "und", and all texts with letters are kept. Null hosts or declarations are no evidence;
     repeated rows give a row each, a null key stays null, further columns are ignored; an empty table gives no rows.
     """
     model = model or fit(docs, text, label or "lang", key)
-    own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), (F.col(host) if host else F.lit(None).cast("string")).alias("_h"), (F.col(declared) if declared else F.lit(None).cast("string")).alias("_d"))
-    out = identified(own, model, "_text", F.col("_h"), F.col("_d"), least)
-    return out.select(F.col("_key").alias(key), F.col("_lang").alias("lang"), F.col("_posterior").alias("posterior"), F.col("_text_lang").alias("text_lang"), F.col("_declared").alias("declared"), F.col("_host").alias("host"), F.col("_kept").alias("kept"))
+    nothing = F.lit(None).cast("string")
+    own = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text"), (F.col(host).cast("string") if host else nothing).alias("address"), (F.col(declared).cast("string") if declared else nothing).alias("told"))
+    return judged(own, ["_key"], model, least).withColumnRenamed("_key", key)
 
 
 def in_known_language(docs: DataFrame, model: Model | None = None, least: float = 0.5) -> DataFrame:
-    """docs in their own columns without those that identify() rejects."""
+    """docs (doc_id, text, lang, source) in their own columns without those that identify() rejects.
+
+    What it finds depends on text and source alone, so rejected rows are found again by a digest of the text, its length and the source: texts don't travel.
+    """
     model = model or fit(docs)
-    out = identified(docs, model, "text", F.col("source"), F.col("lang"), least)
-    return out.filter("_kept").select(*docs.columns)
+    mark = {"mark": F.xxhash64(F.col("text").cast("string")), "size": F.coalesce(F.length(F.col("text").cast("string")), F.lit(-1)), "from": F.col("source").cast("string")}
+    own = docs.select(*[c.alias(n) for n, c in mark.items()], F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("address"), F.lit(None).cast("string").alias("told"))
+    out = materialise(judged(own, list(mark), model, least).filter("not kept").select(*[F.col(n).alias(unused(n, docs)) for n in mark]).distinct(), "rejected")
+    same = reduce(lambda a, b: a & b, [c.eqNullSafe(F.col(unused(n, docs))) for n, c in mark.items()])
+    return docs.join(bounded(out), same, "left_anti").select(*docs.columns)

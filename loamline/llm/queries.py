@@ -31,6 +31,7 @@ def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources stand for hosts; lang is the label of the models' sample, so what a text declares is in its own markup."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
