@@ -17,14 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import unused
 from .neardup import multipliers
 from .shared import WordHashes, batched, bounded, materialise, shingle_stream, words_of
 
 PERMUTATIONS = 64
 #: Bits of a key that pick its place in the map of keys there are.
 LOW = np.uint64((1 << 22) - 1)
-#: Benchmarks of up to so many shingles in all are sent to the tasks (64 signature values of an item take about as much again); larger ones are joined.
-BROADCAST_SHINGLES = 2_000_000
+#: Benchmarks are sent to the tasks while their shingles (8 bytes each) and their signature values (PERMUTATIONS an item, 16 bytes each with their item's place)
+#: are each within these numbers, so within 80 MB in a worker; larger ones are joined.
+BROADCAST_SHINGLES, BROADCAST_KEYS = 2_000_000, 4_000_000
 
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_item", pa.int64()), ("n_shared", pa.int64())])
 
@@ -171,24 +173,29 @@ def contaminations(docs: DataFrame, items: DataFrame, k: int = 5, num: int = 4,
 
     docs: doc_id, text; items: item_id, text; other columns are ignored. Items or texts without words, or null, match nothing; an
     item of fewer than k words is one shingle, which only a document of just these words has. Repeated rows give repeated
-    pairs once. A null doc_id or item_id is returned as null. Items whose shingles all told are within broadcast_shingles go to
-    the tasks with one pass over the texts and no shuffle; larger benchmarks are joined on signature keys.
+    pairs once. A null doc_id or item_id is returned as null. Items whose shingles all told are within broadcast_shingles (and their signatures within
+    BROADCAST_KEYS) go to the tasks with one pass over the texts and no shuffle; larger benchmarks are joined on signature keys, which reads the texts
+    a second time and shuffles those of candidates.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item")).filter("item is not null").distinct()
-    total = items.agg(F.sum(F.length("item"))).first()[0] or 0  # a shingle takes two characters at least
+    size = items.agg(F.sum(F.length("item")).alias("chars"), F.count("*").alias("items")).first()
     returns = "doc_id long, item_id long, n_item long, n_shared long"
-    if total <= 2 * broadcast_shingles:
+    # A shingle takes two characters at least.
+    if (size.chars or 0) <= 2 * broadcast_shingles and size.items * PERMUTATIONS <= BROADCAST_KEYS:
         held = [(r.item_id, r.item) for r in items.collect()]
         return texts.mapInArrow(searcher(held, k, num, den), returns).distinct()
     keyed = materialise(items.mapInArrow(item_keys(k), "id long, key long, u long"), "item-keys")
     sizes = sorted(r.u for r in keyed.select("u").distinct().collect())  # one for each power of two
-    pairs = texts.mapInArrow(doc_keys(sizes, k), "id long, key long").join(keyed.select("key", F.col("id").alias("item_id")), "key").select(F.col("id").alias("doc_id"), "item_id").distinct()
+    pairs = texts.mapInArrow(doc_keys(sizes, k), "id long, key long").join(bounded(keyed.select("key", F.col("id").alias("item_id")), 40), "key").select(F.col("id").alias("doc_id"), "item_id").distinct()
     pairs = materialise(pairs, "candidates")
-    return texts.join(pairs, texts.doc_id.eqNullSafe(pairs.doc_id)).select(texts.doc_id, "text", "item_id").join(items.withColumnRenamed("item_id", "i"), F.col("i").eqNullSafe(F.col("item_id"))).select("doc_id", "text", "item_id", "item").mapInArrow(verifier(k, num, den), returns).distinct()
+    some = bounded(pairs.select(F.col("doc_id").alias("d")).distinct(), 40)
+    held = texts.join(some, texts.doc_id.eqNullSafe(F.col("d")), "left_semi").join(pairs.withColumnRenamed("doc_id", "d"), texts.doc_id.eqNullSafe(F.col("d"))).select("doc_id", "text", "item_id")
+    return held.join(items.withColumnRenamed("item_id", "i"), F.col("i").eqNullSafe(F.col("item_id"))).select("doc_id", "text", "item_id", "item").mapInArrow(verifier(k, num, den), returns).distinct()
 
 
 def clean(docs: DataFrame, items: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """docs, in their own columns, without those that hold a benchmark item. Rows with a null doc_id stay unless a row without doc_id holds one."""
-    found = materialise(contaminations(docs, items, k, num, den).select(F.col("doc_id").alias("_leaked")).distinct(), "leaks")
-    return docs.join(bounded(found), docs.doc_id.eqNullSafe(F.col("_leaked")), "left_anti").select(*docs.columns)
+    leaked = unused("leaked", docs)
+    found = materialise(contaminations(docs, items, k, num, den).select(F.col("doc_id").alias(leaked)).distinct(), "leaks")
+    return docs.join(bounded(found, 40), F.col("doc_id").cast("long").eqNullSafe(F.col(leaked)), "left_anti").select(*docs.columns)

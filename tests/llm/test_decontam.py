@@ -72,3 +72,20 @@ def test_windows_hold_every_item():
         for i in range(n):
             assert (windows[i] == (stream[i * u : i * u + 2 * u, None] * odd).min(axis=0)).all()
         assert n * u + u >= len(stream)
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    names = ["_leaked", "leaked", "item_id", "d", "i", "item", "id", "key"]
+    rows = [(i, "a b c d e f" if i % 3 == 0 else f"x{i} y z", *[f"{n}{i}" for n in names]) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, " + ", ".join(f"`{n}` string" for n in names))
+    items = spark.createDataFrame([(7, "a b c d e f")], "item_id long, text string")
+    out = decontam.clean(df, items)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect())) == [r for r in rows if r[0] % 3]
+
+
+def test_many_short_items_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST_KEYS", 64 * 50)
+    items = [(i, f"w{i}") for i in range(100)] + [(1000, "p q r s t u v")]
+    docs = [(i, f"w{i}") for i in range(0, 300, 2)] + [(5000, "a p q r s t u v b"), (5000, "a p q r s t u v b"), (None, "w1")]
+    got = decontam.contaminations(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in got.select(COLUMNS).collect()} == brute(docs, items)
