@@ -12,7 +12,7 @@ Plan, with no quadratic step inside a bucket and nothing of the corpus on the dr
    confirmed, and components are taken: this settles groups of copies, however large, with one pair a member.
 4. buckets that then hold more than one component are compared in blocks, across components only: by size and signature first,
    then what may reach the threshold on full sets. A bucket has no size limit, it is dealt out as pairs of blocks over many
-   tasks, and a task gives only as many links as join its components.
+   tasks, by members and by the size of their sets, so that long texts make smaller blocks; and a task gives only as many links as join its components.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .shared import WordHashes, batched, bounded, components, discard, grouped_rows, materialise, mixed, shingle_set, words_of
 
 PERMUTATIONS = 64
-#: Members of a block when a bucket with several components is compared.
-BLOCK = 2048
+#: Members of a block when a bucket with several components is compared, and bytes that the full sets of a block may take: a task holds two blocks.
+BLOCK, BLOCK_BYTES = 2048, 64 << 20
 
 
 def banding(similarity: float, miss: float = 1e-6) -> tuple[int, int]:
@@ -243,7 +243,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     same_id = own.join(several, "doc_id").filter("rep <> b").select(F.col("rep").alias("a"), "b")
     # One sketch for each distinct set: that of its smallest doc_id.
     reps = materialise(known.join(classes.select("cls", F.col("rep").alias("doc_id")), ["cls", "doc_id"]).select(F.col("doc_id").alias("id"), "cls", "n", "sig", "bands").dropDuplicates(["id", "cls"]), "reps")
-    members = reps.select(F.explode("bands").alias("key"), "id", "cls")
+    discard(sketch, classes)
+    members = reps.select(F.explode("bands").alias("key"), "id", "cls", "n")
     pivots = members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).filter("pivot < top").select("key", "pivot")
     shared = materialise(members.join(pivots, "key"), "buckets")
     # Each member's best pivot: the one it meets in most bands.
@@ -252,28 +253,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 
     def sets_of(ids: DataFrame) -> DataFrame:
         """Shingle sets of the documents named: only these texts leave their scan."""
-        ids = bounded(materialise(ids.distinct(), "candidates"))
-        return materialise(texts.join(ids, "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, cls binary, hashes binary"), "sets")
+        ids = materialise(ids.distinct(), "candidates")
+        out = materialise(texts.join(bounded(ids, 40), "doc_id", "left_semi").mapInArrow(setter(k), "doc_id long, cls binary, hashes binary"), "sets")
+        discard(ids)
+        return out
 
     sets = sets_of(best.select(F.explode(F.array("a", "b")).alias("doc_id")))
     links = materialise(confirmed(best, sets, num, den).union(same_id), "links")
-    discard(sets)
+    discard(sets, best)
     roots = components(links)
 
     # Buckets that still hold several components: all their pairs across components, in blocks.
-    placed = shared.select("key", "id", "cls").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", "cls", F.coalesce("root", "id").alias("comp"))
-    open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))
-    dealt = placed.join(open_keys, "key").join(reps, ["id", "cls"]).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    placed = shared.select("key", "id", "cls", "n").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", "cls", "n", F.coalesce("root", "id").alias("comp"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("size") * 8 / BLOCK_BYTES)).cast("long")
+    open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("size")).filter("lo < hi").select("key", blocks.alias("blocks"))
+    dealt = placed.drop("n").join(open_keys, "key").join(reps, ["id", "cls"]).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
     dealt = dealt.select("key", "i", "j", "blk", "id", "cls", "comp", "n", "sig", "bands")
     among = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
     rest = materialise(among(dealt.drop("cls")).mapInArrow(parties(floor, num, den), "key long, i long, j long, id long"), "parties")
     if rest.limit(1).count():
-        sets = sets_of(rest.select(F.col("id").alias("doc_id"))).withColumnRenamed("doc_id", "id").dropDuplicates(["id", "cls"])  # an id may have several texts
-        held = dealt.join(rest, ["key", "i", "j", "id"], "left_semi").join(sets, ["id", "cls"]).drop("cls")
-        links = links.union(materialise(among(held).mapInArrow(linker(floor, num, den), "a long, b long"), "links"))
+        sets = sets_of(rest.select(F.col("id").alias("doc_id")))
+        unique = sets.withColumnRenamed("doc_id", "id").dropDuplicates(["id", "cls"])  # an id may have several texts
+        held = dealt.join(rest, ["key", "i", "j", "id"], "left_semi").join(unique, ["id", "cls"]).drop("cls")
+        more = materialise(among(held).mapInArrow(linker(floor, num, den), "a long, b long"), "links")
+        discard(sets)
+        both = links.union(more)
         discard(roots)
-        roots = components(links)
+        roots = components(both)
+        discard(more)
+    discard(rest, reps, shared, links)
 
     out = own.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -282,7 +291,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """docs with one document of each group of near-duplicates, the smallest doc_id, in their own columns. Rows with null doc_id stay; of rows that share a kept doc_id the first by a digest of the row stays."""
     kept = materialise(near_duplicates(docs, k, num, den).filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    out = docs.filter("doc_id is not null").join(bounded(kept), "doc_id", "left_semi").select(*docs.columns)
+    out = docs.filter("doc_id is not null").join(bounded(kept, 40), "doc_id", "left_semi").select(*docs.columns)
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
         row = F.struct(*docs.columns)
         out = out.groupBy("doc_id").agg(F.min_by(row, F.md5(F.to_json(row))).alias("_row")).select("_row.*")  # texts are dealt out by doc_id only where one repeats

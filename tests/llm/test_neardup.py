@@ -126,3 +126,28 @@ def test_ids_with_several_texts_in_blocks(spark):
     alone = docs.filter("doc_id % 10 = 3")
     once, again = (sorted(map(tuple, neardup.keep_one(x).collect())) for x in (alone, alone.orderBy("text").repartition(3)))
     assert once == again and len(once) == 16
+
+
+def test_long_near_copies_in_small_blocks(spark, monkeypatch):
+    """Buckets of long texts that are alike, some linked and some not, in blocks that hold a few sets each."""
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 400_000)
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(50_000)}" for _ in range(12_000)]
+    rows = []
+    for i in range(40):
+        own = list(base)
+        at = rng.randrange(9_000)
+        own[at : at + rng.choice((300, 900, 1500, 2400))] = [f"v{i}x{j}" for j in range(rng.choice((300, 900, 1500, 2400)))]
+        rows.append((i, " ".join(own)))
+    want = brute(rows, 5, 4, 5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 4, 5).collect()}
+    assert got == want and 1 < len({c for _, c in want.values()}) < 40
+
+
+def test_tables_go_as_their_last_reader_is_done(spark, sf_dir):
+    from loamline.session import MADE
+
+    before = set(MADE)
+    out = neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    left = {u.rsplit("/", 1)[1].rsplit("-", 1)[0] for u in set(MADE) - before}
+    assert left == {"own", "components"} and out.count() > 0
