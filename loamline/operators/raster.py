@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.nulls import EPS, mean_of, total_of, yes
-from ..functions.stats import joined_on, otsu, with_robust_unit
+from ..functions.stats import joined_on, otsu, quantiles, with_robust_unit
 from ..session import checkpointed, dropped, written
 
 BANDS = ["blue", "green", "red", "nir"]
@@ -61,7 +61,7 @@ def water_mask(px: DataFrame, keys: list[str], threshold: float | None = None) -
 
 def high_mask(px: DataFrame, keys: list[str], layer: str, quantile: float, name: str) -> DataFrame:
     """px with a mask of the values at or above their group's quantile."""
-    limits = px.groupBy(*keys).agg(F.percentile(layer, F.lit(quantile)).alias("_t"))
+    limits = quantiles(px, keys, {"_t": (F.col(layer), quantile)})
     return joined_on(px, limits, keys).withColumn(name, yes(F.col(layer) >= F.col("_t")).cast("int")).drop("_t")
 
 
@@ -76,8 +76,7 @@ def with_dynamics(px: DataFrame, area: list[str]) -> DataFrame:
 
 def change_mask(px: DataFrame, keys: list[str]) -> DataFrame:
     """px with change: a top-decile absolute delta or any change of water; 0 in groups without deltas."""
-    q = F.lit(CHANGE_QUANTILE)
-    limits = px.groupBy(*keys).agg(F.percentile(F.abs("delta_ndvi"), q).alias("_n"), F.percentile(F.abs("delta_ndwi"), q).alias("_w"))
+    limits = quantiles(px, keys, {"_n": (F.abs("delta_ndvi"), CHANGE_QUANTILE), "_w": (F.abs("delta_ndwi"), CHANGE_QUANTILE)})
     hit = yes(F.abs("delta_ndvi") >= F.col("_n")) | yes(F.abs("delta_ndwi") >= F.col("_w")) | yes(F.abs("water_growth") > 0)
     some = F.col("_n").isNotNull() | F.col("_w").isNotNull()
     return joined_on(px, limits, keys).withColumn("change", (hit & some).cast("int")).drop("_n", "_w")
@@ -108,8 +107,7 @@ def risk(px: DataFrame, keys: list[str], texture: str | None = None, masked: boo
 
 def quantised(px: DataFrame, keys: list[str], layer: str, levels: int = 16) -> DataFrame:
     """px with `level`: the layer between its 1 and 99 % percentiles in half-even steps; 0 for nodata."""
-    p = F.percentile(layer, F.array(F.lit(0.01), F.lit(0.99)))
-    limits = px.groupBy(*keys).agg(p[0].alias("_lo"), p[1].alias("_hi"))
+    limits = quantiles(px, keys, {"_lo": (F.col(layer), 0.01), "_hi": (F.col(layer), 0.99)})
     hi = F.when(F.col("_hi") > F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo") + 1.0)
     unit = F.least(F.greatest((F.col(layer) - F.col("_lo")) / (hi - F.col("_lo")), F.lit(0.0)), F.lit(1.0))
     level = F.when(F.col(layer).isNotNull(), F.rint(unit * (levels - 1))).otherwise(F.lit(0.0)).cast("int")

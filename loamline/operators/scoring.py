@@ -7,30 +7,27 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.nulls import clipped_probability, mean_of, yes
-from ..functions.stats import percent_of_rank, with_group_quantiles
+from ..functions.stats import null_safe, running, with_group_quantiles, with_percent_ranks
 
 
 def metrics(df: DataFrame, label: str, score: str, keys: list[str]) -> DataFrame:
     """(keys, n, n_positive, roc_auc, pr_auc, logloss, brier) over rows that have label and score.
 
     ROC-AUC by average ranks; PR-AUC is the step sum over distinct scores (average precision); both NULL with one class. Rows are first counted
-    by score, so windows run over distinct scores.
+    by score, and distinct scores are ranged over tasks.
     """
     rows = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).withColumns({"_y": F.col(label).cast("double"), "_p": F.col(score).cast("double")})
     p = clipped_probability(F.col("_p"))
     plain = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("_y").cast("long").alias("n_positive"), (-F.avg(F.col("_y") * F.ln(p) + (1 - F.col("_y")) * F.ln(1 - p))).alias("logloss"), F.avg((p - F.col("_y")) ** 2).alias("brier"))
     steps = rows.groupBy(*keys, "_p").agg(F.sum("_y").alias("_tp"), F.count("*").alias("_c"))
-    by = [F.col(k) for k in keys] or [F.lit(1)]
-    down = W.partitionBy(*by).orderBy(F.desc("_p")).rowsBetween(W.unboundedPreceding, 0)
-    every = W.partitionBy(*by)
-    steps = steps.withColumns({"_tps": F.sum("_tp").over(down), "_cs": F.sum("_c").over(down), "_pos": F.sum("_tp").over(every), "_all": F.sum("_c").over(every)})
+    steps = running(steps, keys, [-F.col("_p")], {"_tps": "_tp", "_cs": "_c"}).withColumns({"_tps": F.col("_tps") + F.col("_tp"), "_cs": F.col("_cs") + F.col("_c")})
+    steps = null_safe(steps, steps.groupBy(*keys).agg(F.sum("_tp").alias("_pos"), F.sum("_c").alias("_all")), keys)
     # Positives above each score beat its negatives; ties count half.
     negatives = F.col("_c") - F.col("_tp")
     wins = negatives * (F.col("_tps") - F.col("_tp")) + negatives * F.col("_tp") / 2
     curve = steps.groupBy(*keys).agg(F.try_divide(F.sum(wins), F.first("_pos") * (F.first("_all") - F.first("_pos"))).alias("roc_auc"), F.sum(F.try_divide(F.col("_tp"), F.col("_pos")) * F.col("_tps") / F.col("_cs")).alias("_ap"), F.first("_pos").alias("_pos"), F.first("_all").alias("_all"))
     curve = curve.select(*keys, "roc_auc", F.when((F.col("_pos") > 0) & (F.col("_pos") < F.col("_all")), F.col("_ap")).alias("pr_auc"))
-    joined = plain.join(curve, keys) if keys else plain.crossJoin(F.broadcast(curve))  # one row each
-    return joined.select(*keys, "n", "n_positive", "roc_auc", "pr_auc", "logloss", "brier")
+    return null_safe(plain, curve, keys).select(*keys, "n", "n_positive", "roc_auc", "pr_auc", "logloss", "brier")
 
 
 def model_metrics(scored: DataFrame, label: str, predictions: list[str]) -> DataFrame:
@@ -76,7 +73,7 @@ def external_stats(scored: DataFrame, predictions: list[str], top: float = 0.1,
 
 def export_ranks(scored: DataFrame, predictions: list[str], keys: tuple[str, ...] = ("area", "year")) -> DataFrame:
     """scored with NAME_rank_pct of each prediction in its group."""
-    return scored.withColumns({f"{c}_rank_pct": percent_of_rank(c, list(keys)) for c in predictions})
+    return with_percent_ranks(scored, {f"{c}_rank_pct": c for c in predictions}, list(keys))
 
 
 def attention(scored: DataFrame, model: str = "pred_ml_final", baseline: str = "pred_baseline_risk", rank: float = 0.9, gap: float = 0.15) -> DataFrame:

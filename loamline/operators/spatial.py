@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.stats import zone_aggregates
+from ..functions.stats import quantiles
 from ..session import checkpointed, unused, written
 from . import geometry as g
 from .raster import merged
@@ -96,8 +96,11 @@ def pixels_in_polygons(px: DataFrame, zones: DataFrame, size: int = 16, own: lis
 def zonal_table(joined: DataFrame, zones: DataFrame, layers: list[str], masks: list[str], sizes: DataFrame | None = None, cell_area: float = 1.0) -> DataFrame:
     """One row for each zone, those without pixels too: statistics of layers, shares of masks, and with sizes (comp_id, n_px) hotspot_count and
     mean_hotspot_size_m2 of the components that touch the zone, each at its full size (0 and 0.0 if none)."""
-    aggs = [x for c in layers for x in zone_aggregates(F.col(c), c)] + [F.avg(F.col(m).cast("double")).alias(f"{m}_share") for m in masks]
+    plain = (("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))
+    aggs = [f(c).alias(f"{c}_{n}") for c in layers for n, f in plain] + [F.avg(F.col(m).cast("double")).alias(f"{m}_share") for m in masks]
     out = zones.select("zone").join(joined.groupBy("zone").agg(*aggs, F.count("*").alias("n_px")), "zone", "left").fillna(0, ["n_px"])
+    if layers:
+        out = out.join(quantiles(joined, ["zone"], {f"{c}_{n}": (F.col(c), q) for c in layers for n, q in (("p90", 0.9), ("p95", 0.95))}), "zone", "left")
     if sizes is not None:
         spots = joined.filter("comp_id is not null").select("zone", "comp_id").distinct().join(sizes, "comp_id").groupBy("zone").agg(F.count("*").alias("hotspot_count"), (F.avg(F.col("n_px").cast("double")) * cell_area).alias("mean_hotspot_size_m2"))
         out = out.join(spots, "zone", "left").fillna({"hotspot_count": 0, "mean_hotspot_size_m2": 0.0})

@@ -90,7 +90,9 @@ def label_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {LABELS} SELECT round(median(negative_parcel_obs), 6) AS median_obs, round(median(negative_parcel_stable_share), 6) AS median_stable_share, count(*) AS n_rows, count(weak_target) AS n_labelled FROM lab")
 def label_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = labels.weak_labels(dynamic_years(spark, sf_dir))
-    return df.agg(F.round(F.median("negative_parcel_obs"), 6).alias("median_obs"), F.round(F.median("negative_parcel_stable_share"), 6).alias("median_stable_share"), F.count("*").alias("n_rows"), F.count("weak_target").alias("n_labelled"))
+    counts = df.agg(F.count("*").alias("n_rows"), F.count("weak_target").alias("n_labelled"))
+    medians = stats.quantiles(df, [], {"median_obs": (F.col("negative_parcel_obs"), 0.5), "median_stable_share": (F.col("negative_parcel_stable_share"), 0.5)})
+    return stats.joined_on(counts, medians, []).select(F.round("median_obs", 6).alias("median_obs"), F.round("median_stable_share", 6).alias("median_stable_share"), "n_rows", "n_labelled")
 
 
 @query(f"""WITH {PY}, l AS (SELECT c_custkey AS parcel_id, CASE WHEN c_custkey % 5 = 0 THEN 'BUILDING' WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS garea, CAST(c_nationkey AS DOUBLE) * 10 AS g_area_m2 FROM customer),

@@ -213,7 +213,9 @@ def compared_with_cases(px: DataFrame, masks: DataFrame, cases: DataFrame, layer
     hit = near.join(around, ["cx", "cy"]).filter(F.pow(F.col("col") + 0.5 - F.col("x"), 2) + F.pow(F.col("row") + 0.5 - F.col("y"), 2) <= radius**2).withColumn("kind", F.lit("case"))
     both = area.select("zone", "kind", "year", *layers).unionByName(hit.select("zone", "kind", "year", *layers))
     long = both.unpivot(["zone", "kind", "year"], layers, "layer", "value")
-    return long.groupBy("zone", "kind", "year", "layer").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.median("value").alias("median"), F.percentile("value", F.lit(0.9)).alias("p90"), F.max("value").alias("max"))
+    keys = ["zone", "kind", "year", "layer"]
+    plain = long.groupBy(*keys).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max"))
+    return plain.join(stats.quantiles(long, keys, {"median": (F.col("value"), 0.5), "p90": (F.col("value"), 0.9)}), keys, "left").select(*keys, "n", "mean", "median", "p90", "max")
 
 
 def parcel_context(parcels: DataFrame, number: int, metres: float, area: str | None = None) -> DataFrame:

@@ -69,7 +69,7 @@ def test_nulls(spark):
 
 def test_average_ranks(spark):
     df = spark.createDataFrame([("g", 1.0), ("g", 2.0), ("g", 2.0), ("g", 5.0), ("g", None)], "k string, v double")
-    assert sorted(r.p for r in df.withColumn("p", stats.percent_of_rank("v", ["k"])).collect() if r.p) == [0.25, 0.625, 0.625, 1.0]
+    assert sorted(r.p for r in stats.with_percent_ranks(df, {"p": "v"}, ["k"]).collect() if r.p) == [0.25, 0.625, 0.625, 1.0]
 
 
 def test_metrics_with_ties_and_one_class(spark):
@@ -139,3 +139,57 @@ def test_groups_stay_in_one_fold(spark):
     out = models.with_folds(df, "y", "parcel_id", 4)
     assert out.groupBy("parcel_id").agg(F.count_distinct("fold").alias("n")).filter("n > 1").count() == 0
     assert out.groupBy("fold").agg(F.count_distinct("y").alias("n")).filter("n = 2").count() == 4
+
+
+def test_quantiles_are_exact_at_any_size(spark):
+    """Far values, heavy ties, small and large groups, missing values and keys: against NumPy's linear quantiles."""
+    rng = np.random.default_rng(3)
+    parts = {"wide": np.exp(rng.normal(0, 8, 60_000)), "ties": rng.integers(0, 4, 40_000).astype(float), "one": np.array([7.0]), "two": np.array([1.0, 2.0]), "same": np.full(500, 3.0)}
+    rows = [(k, float(v), -float(v)) for k, vs in parts.items() for v in vs] + [(None, 1.0, 1.0), ("none", None, None), ("two", None, None)]
+    df = spark.createDataFrame(rows, "k string, a double, b double").repartition(6)
+    places = {"q0": 0.0, "q05": 0.05, "q5": 0.5, "q9": 0.9, "q999": 0.999, "q1": 1.0}
+    got = {r.k: r for r in stats.quantiles(df, ["k"], {n: (F.col("a"), q) for n, q in places.items()} | {"other": (F.abs("b"), 0.25)}).collect()}
+    assert set(got) == set(parts)
+    for k, vs in parts.items():
+        for n, q in places.items():
+            assert np.isclose(got[k][n], np.quantile(vs, q), rtol=1e-12), (k, n)
+        assert np.isclose(got[k].other, np.quantile(np.abs(vs), 0.25), rtol=1e-12)
+    joined = stats.with_group_quantiles(df, ["k"], {"q": (F.col("a"), 0.5)})
+    assert joined.count() == len(rows) and joined.filter("k is null and q is null").count() == 1
+    assert stats.quantiles(df.filter("k = 'none'"), [], {"q": (F.col("a"), 0.5)}).collect()[0].q is None
+    every = stats.quantiles(df, [], {"q": (F.col("a"), 0.75)}).first().q
+    assert np.isclose(every, np.quantile([r[1] for r in rows if r[1] is not None], 0.75), rtol=1e-12)
+
+
+def test_ranks_and_running_sums_over_partitions(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, float(v), i) for i, (k, v) in enumerate(zip(rng.choice(["hot", "hot", "b", None], 30_000), np.round(rng.normal(0, 100, 30_000), 1)))] + [("b", None, -1)]
+    df = spark.createDataFrame(rows, "k string, v double, _part int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = stats.with_percent_ranks(df, {"p": "v"}, ["k"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(rows)
+    for k in ("hot", "b", None):
+        mine = [(r.v, r.p) for r in got if r.k == k and r.v is not None]
+        values = np.sort([v for v, _ in mine])
+        low, high = np.searchsorted(values, [v for v, _ in mine], "left"), np.searchsorted(values, [v for v, _ in mine], "right")
+        assert np.allclose([p for _, p in mine], (low + high + 1) / 2 / len(mine))
+    assert [r.p for r in got if r.v is None] == [None]
+
+
+def test_spearman_against_ranks(spark):
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 50, 5000).astype(float)
+    b, c = a + rng.normal(0, 20, 5000), -np.round(a / 7)
+    df = spark.createDataFrame([(float(x), None if i % 9 == 0 else float(y), float(z), 1.0) for i, (x, y, z) in enumerate(zip(a, b, c))], "a double, b double, c double, d double")
+    got = {(r.a, r.b): (r.n, r.rho) for r in stats.spearman_pairs(df, ["a", "b", "c", "d"], "a").collect()}
+
+    def rank(x):
+        s = np.sort(x)
+        return (np.searchsorted(s, x, "left") + np.searchsorted(s, x, "right") + 1) / 2
+
+    there = np.arange(5000) % 9 != 0
+    assert got["a", "b"][0] == there.sum() and np.isclose(got["a", "b"][1], np.corrcoef(rank(a[there]), rank(b[there]))[0, 1])
+    assert np.isclose(got["a", "c"][1], np.corrcoef(rank(a), rank(c))[0, 1]) and got["a", "d"][1] is None
