@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,29 @@ BROADCAST_BYTES = 100 << 20
 
 # ---------------------------------------------------------------- storage
 
-#: Tables written to the folder that driver and executors share, and their end.
-materialise, discard = written, dropped
+#: Bytes of an Arrow batch between Spark and Python while a table is written: JVM and worker hold several copies of one, and Spark's own 64 MB are too many of them.
+BATCH_BYTES = 8 << 20
+
+discard = dropped
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most about BATCH_BYTES for what runs inside; the session then has its own setting again."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def materialise(df: DataFrame, label: str, codec: str = "uncompressed") -> DataFrame:
+    """df written to the folder that driver and executors share and read back (see session.written), in small batches where Python takes part."""
+    with small_batches(df.sparkSession):
+        return written(df, label, codec)
+
 
 #: Names of schemes to Spark, and to Arrow's file systems.
 SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}

@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from loamline.llm import neardup
+from loamline.llm import neardup, shared
 from loamline.llm.shared import components
 
 SCHEMA = "doc_id long, text string, sig int, bands string"
@@ -151,3 +152,11 @@ def test_tables_go_as_their_last_reader_is_done(spark, sf_dir):
     out = neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     left = {u.rsplit("/", 1)[1].rsplit("-", 1)[0] for u in set(MADE) - before}
     assert left == {"own", "components"} and out.count() > 0
+
+
+def test_settings_of_the_session_stay(spark):
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name), spark.conf.get(most)
+    sizes = shared.materialise(spark.range(0, 60, 1, 1).selectExpr("repeat('x', 1000000) as t").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long"), "t")
+    assert max(r.n for r in sizes.collect()) < 2 * shared.BATCH_BYTES
+    assert (spark.conf.get(name), spark.conf.get(most)) == before
