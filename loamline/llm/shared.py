@@ -20,22 +20,25 @@ BROADCAST_BYTES = 100 << 20
 
 # ---------------------------------------------------------------- storage
 
-#: Bytes of an Arrow batch between Spark and Python while a table is written: JVM and worker hold several copies of one, and Spark's own 64 MB are too many of them.
-BATCH_BYTES = 8 << 20
+#: Bytes and rows of an Arrow batch between Spark and Python while a table is written: JVM and worker hold several copies of one, rows of lists as Python objects too, and
+#: Spark's own 64 MB or 10,000 rows are too many of them.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
 
 discard = dropped
 
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of at most about BATCH_BYTES for what runs inside; the session then has its own setting again."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
+    """Arrow batches of at most about BATCH_BYTES and BATCH_ROWS for what runs inside; the session then has its own settings again."""
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, most in wanted.items():
+        spark.conf.set(name, str(most))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def materialise(df: DataFrame, label: str, codec: str = "uncompressed") -> DataFrame:
