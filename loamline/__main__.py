@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text
-from .operators import audit, geometry, scenes
-from .plans import stages
+from .operators import audit, geometry, raster, scenes
+from .plans import runs, stages
 from .session import session
 from .sources import files, geotiff, vectors
 
@@ -54,6 +54,25 @@ def parser() -> argparse.ArgumentParser:
     add("crs", "in", "out")
     add("context", "in", "out", "number", "area").add_argument("--metres", type=float, default=1000.0)
     add("cadastre", "in", "out")
+    r = add("run", "in", "out", "parcels", "dem", "inventory", "band-map")
+    r.add_argument("--soil-index", choices=sorted(raster.SOIL), default="osavi")
+    r.add_argument("--water-threshold", type=float)
+    r.add_argument("--no-textures", action="store_true")
+    for name, default in (("levels", 16), ("downsample", 2), ("stride", 2)):
+        r.add_argument(f"--texture-{name}", type=int, default=default)
+    z = add("aoi", "in", "out")
+    z.add_argument("--merge-gap", type=float, default=0.0)
+    z.add_argument("--min-zone-area-km2", type=float, default=0.0)
+    add("clip", "in", "out").add_argument("--scenes", required=True)
+    c = add("cases", "in", "out", "area", "points")
+    c.add_argument("--masks", required=True)
+    c.add_argument("--radius", type=float, default=250.0)
+    for name in ("colour", "heat-map"):
+        k = add(name, "in", "out", "parcels", "template", "column")
+        k.add_argument("--palette", required=True)
+        k.add_argument("--min", type=float, default=0.0)
+        k.add_argument("--max", type=float, default=1.0)
+        k.add_argument("--pattern", default="*risk_score*.tif")
     add("self-test")
     return p
 
@@ -127,9 +146,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write(hit.withColumn("geometry", geometry.to_geojson(F.col("geometry"))), out)
         return 0 if hit.limit(1).count() else 3
     elif stage == "cadastre":
-        rows = files.zipped_tables(spark, source)
-        for name, mask in files.usage_masks(rows).items():
-            write(files.cadastre(rows.filter(mask)).withColumn("geometry", geometry.to_geojson(F.col("geometry"))), f"{out}/{name}")
+        print(files.report(runs.cadastre(spark, source, out)))
+    elif stage == "run":
+        bands = json.loads(a["band_map"]) if a["band_map"] else None
+        print(files.report(runs.run(spark, source, out, a["parcels"], a["dem"], a["inventory"], bands, a["soil_index"], a["water_threshold"], a["texture_levels"], a["texture_downsample"], a["texture_stride"], not a["no_textures"])))
+    elif stage == "aoi":
+        print(files.report(runs.aoi(spark, source, out, a["merge_gap"], a["min_zone_area_km2"])))
+    elif stage == "clip":
+        print(files.report(runs.clip(spark, source, a["scenes"], out)))
+    elif stage == "cases":
+        print(files.report(runs.cases(spark, source, a["area"], out, a["masks"], a["points"], a["radius"])))
+    elif stage == "colour":
+        report = runs.coloured(spark, source, a["palette"], out, a["pattern"], low=a["min"], high=a["max"])
+        print(files.report(report))
+        return 3 if report["failed"] else 2 if not report["ok"] else 0
+    elif stage == "heat-map":
+        shapes = vectors.read_geojson(spark, a["parcels"], "*").select(F.element_at("properties", "parcel_id").alias("parcel_id"), "geometry")
+        print(files.report(runs.heat_map(spark, read(spark, source), shapes, a["column"], a["template"], a["palette"], out, a["min"], a["max"])))
     return 0
 
 

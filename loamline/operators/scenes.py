@@ -73,8 +73,8 @@ def reference_scene(rasters: DataFrame, keys: list[str], order: str = "path") ->
 
 
 def reference_grid(bounds: DataFrame, cell: str = "cell") -> DataFrame:
-    """bounds (xmin, ymin, xmax, ymax, cell) with the width and height of the grid that covers them, one cell at least."""
-    cells = lambda c: F.greatest(F.lit(1), F.ceil((F.col(f"{c}max") - F.col(f"{c}min")) / F.col(cell)).cast("int"))
+    """bounds (xmin, ymin, xmax, ymax, cell) with the width and height of the grid that covers them, one cell at least; a billionth of a cell too many is none."""
+    cells = lambda c: F.greatest(F.lit(1), F.ceil(F.round((F.col(f"{c}max") - F.col(f"{c}min")) / F.col(cell), 9)).cast("int"))
     return bounds.withColumns({"width": cells("x"), "height": cells("y")})
 
 

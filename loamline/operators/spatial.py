@@ -132,7 +132,8 @@ def dissolved(df: DataFrame, keys: list[str], geometry: str = "geometry", fan: i
         x = g.bounds(F.col("_g"))
         ranked = numbered(held.withColumns({"_x": x["xmin"], "_y": x["ymin"], "_h": F.xxhash64(F.to_json("_g"))}), [*keys, "_x", "_y", "_h"], "_n")
         held = written(ranked.groupBy(*keys, F.floor(F.col("_n") / fan).alias("_p")).agg(F.collect_list("_g").alias("_all")).select(*keys, g.union_of("_all").alias("_g")), "outlines", "zstd")
-    return held.groupBy(*keys).agg(F.collect_list("_g").alias("_all")).select(*keys, g.union_of("_all").alias(geometry))
+    # Written: Spark can't plan expressions with lambdas over a Python function of an aggregate, which callers' measures would make.
+    return written(held.groupBy(*keys).agg(F.collect_list("_g").alias("_all")).select(*keys, g.union_of("_all").alias(geometry)), "outlines", "zstd")
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "parcel_id") -> DataFrame:

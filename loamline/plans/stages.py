@@ -5,6 +5,7 @@ Each stage is a function of tables and settings that returns tables; files come
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats, text
 from ..operators import audit, clustering, features, geometry, labels, models, raster, scoring, spatial
+from ..session import written
 
 # Order of an export's columns.
 EXPORT = ["area", "parcel_id", "cad_num", "year", "area_m2", "pred_ml_final", "pred_ml_mean", "pred_logit", "pred_boost", "pred_baseline_risk", "pred_ml_minus_baseline", "ml_disagreement", "ml_attention_flag", "label_type", "weak_target", "cluster_id", "cluster_prob", "cluster_outlier"]
@@ -31,11 +33,11 @@ class RasterSettings:
     layers: list[str] = field(default_factory=lambda: ["ndvi", "ndwi", "brightness", "delta_ndvi", "delta_ndwi", "risk_score"])
 
 
-def raster_run(pixels: DataFrame, zones: DataFrame, dem: DataFrame | None = None, settings: RasterSettings | None = None) -> tuple[DataFrame, DataFrame]:
+def raster_run(pixels: DataFrame, zones: DataFrame | None, dem: DataFrame | None = None, settings: RasterSettings | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(pixel layers by area and year, zonal table by area and year).
 
     pixels: scene_id, area, year, row, col and the four bands of every scene; zones: zone, geometry in grid units and, where they belong to one, area
-    (else a zone counts in every area); dem: row, col, dem.
+    (else a zone counts in every area), None for no table; dem: row, col, dem and, where heights differ by area, area. prepare adds layers to the composites.
     Years of an area lie on one grid. The loop over years is a window over each pixel's years.
     """
     s = settings or RasterSettings()
@@ -43,13 +45,17 @@ def raster_run(pixels: DataFrame, zones: DataFrame, dem: DataFrame | None = None
     px = raster.indices(raster.composite(pixels, keys), s.soil)
     px = raster.water_mask(px, keys, s.water_threshold)
     halo, names, of = raster.local_statistics(s.texture_window)
-    local = raster.focal(px, keys, "nir", halo, names, of).select(*keys, "row", "col", F.col("std").alias("nir_local_std"), F.col("var").alias("nir_local_var"))
-    px = px.join(local, [*keys, "row", "col"])
+    if prepare is not None:
+        px = written(prepare(px), "prepared")
+    else:
+        local = raster.focal(px, keys, "nir", halo, names, of).select(*keys, "row", "col", F.col("std").alias("nir_local_std"), F.col("var").alias("nir_local_var"))
+        px = px.join(local, [*keys, "row", "col"])
     for w in s.glcm_windows:
         lattice = raster.glcm(px, keys, "nir", w)
         px = px.join(raster.spread(px, lattice, keys, raster.GLCM).withColumnsRenamed({n: f"nir_glcm_{n}_w{w}" for n in raster.GLCM}), [*keys, "row", "col"])
     if dem is not None:
-        px = px.join(raster.terrain(dem, [], "dem", s.dx, s.dy), ["row", "col"], "left")
+        own = ["area"] if "area" in dem.columns else []
+        px = px.join(raster.terrain(dem, own, "dem", s.dx, s.dy), [*own, "row", "col"], "left")
     px = raster.with_dynamics(px, ["area"])
     px = raster.high_mask(px, keys, s.texture, raster.TEXTURE_QUANTILE, "texture_anomaly")
     px = raster.change_mask(px, keys)
@@ -57,6 +63,8 @@ def raster_run(pixels: DataFrame, zones: DataFrame, dem: DataFrame | None = None
     px = raster.high_mask(px, keys, "risk_score", raster.HOTSPOT_QUANTILE, "hotspot")
     comps = raster.components(px, keys, "hotspot")
     px = px.join(comps, [*keys, "row", "col"], "left")
+    if zones is None:
+        return px, None
     layers = s.layers + [c for c in ("slope", "tpi", "curvature") if c in px.columns]
     # A zone of an area and year is one zone to the zonal table.
     per = px.select(*keys).distinct()

@@ -8,6 +8,8 @@ import re
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -78,6 +80,24 @@ def dropped(*tables: DataFrame) -> None:
         deleted(df.sparkSession, df._loamline_path)
 
 
+#: Names of schemes to Spark, and to Arrow's file systems.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
+
+
+def opened(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a URI, for binary files that executors write and read: local, HDFS, S3, Google and Azure stores, with what their machines are set up with.
+
+    Any other scheme raises a ValueError that names it; callers ask on the driver before anything runs.
+    """
+    scheme, sep, rest = uri.partition("://")
+    if not sep and not uri.startswith("file:"):
+        return pafs.LocalFileSystem(), uri
+    try:
+        return pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + sep + rest if sep else uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+        raise ValueError(f"binary files can't be written under {uri!r}: Arrow has no file system for it; name a folder in another store ({e})") from e
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage ended in the checkpoint folder of the session; see shared_root() for runs without one."""
     sc = df.sparkSession.sparkContext

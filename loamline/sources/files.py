@@ -9,12 +9,16 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import nulls, text
 from ..operators import geometry
 from ..operators.features import PARCEL_YEAR, keep_first, union_all
+from ..session import opened, unused, written
 
 # Columns of the cadastre's tables, footprints' endings, names of a statistics table's keys and flags.
 CADASTRE = ["CAD_N", "STATUS", "C_COST", "AREA", "UTL_ID", "UTL_DOC", "OBJ_WKT"]
@@ -32,8 +36,13 @@ def contents(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("path", "content")
 
 
+def footprint_rows(rows: DataFrame) -> DataFrame:
+    """Rows whose path is a footprint's."""
+    return rows.filter(F.col("path").rlike(FOOTPRINTS))
+
+
 def footprints(files: DataFrame) -> DataFrame:
-    return files.filter(F.col("path").rlike(FOOTPRINTS)).dropDuplicates(["path"])
+    return footprint_rows(files).dropDuplicates(["path"])
 
 
 def classified(files: DataFrame, root: str) -> DataFrame:
@@ -76,15 +85,31 @@ def json_files(spark: SparkSession, root: str, pattern: str = "*.json") -> DataF
     return df.withColumn("error", F.when(F.try_parse_json("text").isNull(), F.lit("not JSON")))
 
 
+def uniform_tables(spark: SparkSession, root: str, pattern: str) -> list[tuple[DataFrame, str]]:
+    """(rows, name of the column with their file's name) for each kind of header among the CSVs that match: files of one header are one reader, however many they are."""
+    found = listing(spark, root, pattern, False)
+    first = spark.read.option("pathGlobFilter", pattern).text(root).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    heads = first.filter("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by(F.regexp_replace("value", "^\\ufeff", ""), "n").alias("head"))
+    kinds = [r.head for r in heads.select("head").distinct().orderBy("head").collect()]
+    out = []
+    for head in kinds:
+        paths = [r.path for r in heads.filter(F.col("head") == head).select("path").orderBy("path").collect()] if len(kinds) > 1 else None
+        sep = ";" if ";" in head and "," not in head else ","
+        reader = spark.read.option("header", True).option("sep", sep).schema(", ".join(f"`{c}` string" for c in next(csv.reader([head], delimiter=sep))))
+        df = reader.csv(paths) if paths else reader.option("pathGlobFilter", pattern).csv(root)
+        name = unused("file", df)
+        out.append((df.withColumn(name, F.col("_metadata.file_name")), name))
+    return out if found.limit(1).count() else []
+
+
 def parcel_stats(spark: SparkSession, root: str) -> DataFrame:
-    """All AREA_YEAR_parcel_stats.csv of a folder as one table, with canonical names, area, year and is_valid."""
-    files = [r.path for r in listing(spark, root, "*_parcel_stats.csv", False).orderBy("path").collect()]  # one for each area and year
+    """All AREA_YEAR_parcel_stats.csv of a folder as one table, with canonical names, area, year and is_valid. Files with the same header are read together."""
     parts = []
-    for f in files:
-        keys = text.area_year_of_file(F.lit(f.rsplit("/", 1)[-1]))
-        df, known = text.with_canonical_names(table(spark, f))
+    for table_, file in uniform_tables(spark, root, "*_parcel_stats.csv"):
+        keys = text.area_year_of_file(F.col(file))
+        df, known = text.with_canonical_names(table_.withColumns({"_k1": keys["area"], "_k2": keys["year"]}).drop(file))
         wanted = [c for c in known if c not in ("parcel_id", "cad_num")]
-        parts.append(df.select(keys["area"].alias("area"), keys["year"].alias("year"), F.col("parcel_id").cast("string").alias("parcel_id"), *[nulls.number(F.col(c)).alias(c) for c in wanted]))
+        parts.append(df.select(F.col("_k1").alias("area"), F.col("_k2").alias("year"), F.col("parcel_id").cast("string").alias("parcel_id"), *[nulls.number(F.col(c)).alias(c) for c in wanted]))
     if not parts:
         raise FileNotFoundError(f"no parcel statistics in {root}")
     return union_all(parts).join(valid_flags(spark, root), PARCEL_YEAR, "left")
@@ -93,12 +118,12 @@ def parcel_stats(spark: SparkSession, root: str) -> DataFrame:
 def valid_flags(spark: SparkSession, root: str) -> DataFrame:
     """(area, year, parcel_id, is_valid) of all AREA_YEAR_parcel_stats_valid.csv; the first row of a key counts."""
     parts = []
-    for f in [r.path for r in listing(spark, root, "*_parcel_stats_valid.csv", False).orderBy("path").collect()]:
-        keys = text.area_year_of_file(F.lit(f.rsplit("/", 1)[-1]), "parcel_stats_valid")
-        df = text.tidy_columns(table(spark, f))
+    for table_, file in uniform_tables(spark, root, "*_parcel_stats_valid.csv"):
+        keys = text.area_year_of_file(F.col(file), "parcel_stats_valid")
+        df = text.tidy_columns(table_.withColumns({"_k1": keys["area"], "_k2": keys["year"], "_at": F.monotonically_increasing_id()}).drop(file))
         key, flag = (next((c for c in names if c in df.columns), None) for names in (ID_COLUMNS, FLAG_COLUMNS))
         if key and flag:
-            parts.append(df.select(keys["area"].alias("area"), keys["year"].alias("year"), F.col(key).cast("string").alias("parcel_id"), text.flag(F.col(flag)).alias("is_valid"), F.monotonically_increasing_id().alias("_at")))
+            parts.append(df.select(F.col("_k1").alias("area"), F.col("_k2").alias("year"), F.col(key).cast("string").alias("parcel_id"), text.flag(F.col(flag)).alias("is_valid"), "_at"))
     if not parts:
         return spark.createDataFrame([], "area string, year int, parcel_id string, is_valid boolean")
     return keep_first(union_all(parts), PARCEL_YEAR, ["_at"]).drop("_at")
@@ -154,8 +179,57 @@ def usage_masks(rows: DataFrame) -> dict[str, Column]:
 # ---------------------------------------------------------------- sinks
 
 
-def to_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+#: What spreadsheets tell UTF-8 by.
+MARK = "\ufeff"
+
+
+def csv_line(names: list[str]) -> Column:
+    """A row as a line of CSV: texts quoted where they hold a comma, a quote or a line's end; nothing for NULL."""
+    quoted = lambda c: F.when(F.coalesce(c, F.lit("")).rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(c, F.lit("")))
+    return F.concat_ws(",", *[quoted(F.col(f"`{n}`").cast("string")) for n in names])
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """df with nested columns as JSON, which is how a CSV can hold them."""
+    return df.withColumns({f.name: F.to_json(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, T.StructType | T.ArrayType | T.MapType)})
+
+
+def to_csv(df: DataFrame, path: str, *partitions: str, mark: bool = False) -> None:
+    """df as CSV with a header, a folder for each value of partitions; with mark each file begins with the byte-order mark of UTF-8."""
+    flat = plain(df)
+    if not mark:
+        flat.write.mode("overwrite").partitionBy(*partitions).csv(path, header=True)
+        return
+    # The header's first name carries the mark, so every file that Spark writes begins with it.
+    names = [c for c in flat.columns if c not in partitions]
+    flat.withColumnRenamed(names[0], MARK + names[0]).select(MARK + names[0], *names[1:], *partitions).write.mode("overwrite").partitionBy(*partitions).option("quoteAll", "false").csv(path, header=True)
+
+
+def text_files(df: DataFrame, path: Column, header: str, line: Column, order: list[str], footer: str = "", between: str = "\n") -> DataFrame:
+    """(path, content) of small text files, one for each path: header, the lines in order, footer. A file's lines meet in one task."""
+    # Written first: Spark can't plan an aggregate whose arguments hold Python functions, which a line's geometry may.
+    rows = written(df.select(path.alias("path"), F.struct(*[F.col(c) for c in order], line.alias("_line")).alias("r")), "lines", "zstd")
+    lines = F.transform(F.array_sort(F.collect_list("r")), lambda r: r["_line"])
+    return rows.groupBy("path").agg(F.encode(F.concat(F.lit(header), F.array_join(lines, between), F.lit(footer)), "UTF-8").alias("content"))
+
+
+def to_files(files: DataFrame, root: str) -> DataFrame:
+    """Writes files (path relative to root, content) by tasks, each under a name of its own until it is whole; returns (path, bytes)."""
+    opened(root)
+    schema = pa.schema([("path", pa.string()), ("bytes", pa.int64())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                fs, target = opened(f"{root.rstrip('/')}/{path}")
+                fs.create_dir(target.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(f"{target}.{attempt}.tmp") as out:
+                    out.write(content.as_buffer())
+                fs.move(f"{target}.{attempt}.tmp", target)
+                yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [len(content.as_buffer())]}, schema=schema)
+
+    return written(files.select("path", "content").mapInArrow(write, "path string, bytes long"), "files")
 
 
 def to_parquet(df: DataFrame, path: str, *partitions: str) -> None:

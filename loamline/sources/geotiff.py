@@ -13,11 +13,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Tags and field types of the format.
 KINDS = {1: ("B", 1), 2: ("c", 1), 3: ("H", 2), 4: ("I", 4), 5: ("II", 8), 11: ("f", 4), 12: ("d", 8), 16: ("Q", 8)}
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIPS, SAMPLES, ROWS, STRIP_BYTES = 256, 257, 258, 259, 262, 273, 277, 278, 279
-PLANAR, PREDICTOR, TILE_W, TILE_H, TILES, TILE_BYTES, FORMAT = 284, 317, 322, 323, 324, 325, 339
+PLANAR, PREDICTOR, TILE_W, TILE_H, TILES, TILE_BYTES, EXTRA, FORMAT = 284, 317, 322, 323, 324, 325, 338, 339
 SCALE, TIEPOINT, KEYS, NODATA = 33550, 33922, 34735, 42113
 
 
@@ -63,30 +64,44 @@ def backward(data: bytes, shape: tuple[int, int, int], dtype: np.dtype, predicto
     return a.astype(dtype.newbyteorder("="))
 
 
+def block_of(part: np.ndarray, tile: int, predictor: int) -> bytes:
+    """A compressed tile (row, column, band), filled up at the grid's edges."""
+    block = np.zeros((tile, tile, part.shape[2]), part.dtype)
+    block[: part.shape[0], : part.shape[1]] = part
+    return zlib.compress(forward(block, predictor), 6)
+
+
+def predictor_of(dtype: np.dtype) -> int:
+    """3 for floats, 2 for integers."""
+    return 3 if np.dtype(dtype).kind == "f" else 2
+
+
 def encode(r: Raster, tile: int = 256, predictor: int | None = None) -> bytes:
     """A little-endian, tiled, deflated GeoTIFF; predictor 3 for floats and 2 for integers by default."""
     bands, h, w = r.bands.shape
     a = np.ascontiguousarray(r.bands.transpose(1, 2, 0)).astype(r.bands.dtype.newbyteorder("<"))
-    predictor = predictor or (3 if a.dtype.kind == "f" else 2)
-    blocks = []
-    for y in range(0, h, tile):
-        for x in range(0, w, tile):
-            block = np.zeros((tile, tile, bands), a.dtype)
-            part = a[y : y + tile, x : x + tile]
-            block[: part.shape[0], : part.shape[1]] = part
-            blocks.append(zlib.compress(forward(block, predictor), 6))
-    code = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
-    ta, tb, tc, td, te, tf = r.transform
+    predictor = predictor or predictor_of(a.dtype)
+    blocks = [block_of(a[y : y + tile, x : x + tile], tile, predictor) for y in range(0, h, tile) for x in range(0, w, tile)]
+    return assembled(blocks, (bands, h, w), a.dtype, r.transform, r.epsg, r.nodata, tile, predictor)
+
+
+def assembled(blocks: list[bytes], shape: tuple[int, int, int], dtype: np.dtype, transform: tuple, epsg: int | None, nodata: float | None, tile: int, predictor: int) -> bytes:
+    """The file of a grid (bands, rows, columns) from its compressed tiles in reading order. Three bands of bytes are colours."""
+    (bands, h, w), a = shape, np.dtype(dtype)
+    code = {"u": 1, "i": 2, "f": 3}[a.kind]
+    ta, tb, tc, td, te, tf = transform
     tags: list[tuple[int, int, list]] = [
-        (WIDTH, 4, [w]), (HEIGHT, 4, [h]), (BITS, 3, [a.itemsize * 8] * bands), (COMPRESSION, 3, [8]), (PHOTOMETRIC, 3, [1]), (SAMPLES, 3, [bands]), (PLANAR, 3, [1]), (PREDICTOR, 3, [predictor]),
+        (WIDTH, 4, [w]), (HEIGHT, 4, [h]), (BITS, 3, [a.itemsize * 8] * bands), (COMPRESSION, 3, [8]), (PHOTOMETRIC, 3, [2 if bands in (3, 4) and a == np.uint8 else 1]), (SAMPLES, 3, [bands]), (PLANAR, 3, [1]), (PREDICTOR, 3, [predictor]),
         (TILE_W, 4, [tile]), (TILE_H, 4, [tile]), (TILES, 4, [0] * len(blocks)), (TILE_BYTES, 4, [len(b) for b in blocks]), (FORMAT, 3, [code] * bands),
         (SCALE, 12, [ta, -te, 0.0]), (TIEPOINT, 12, [0.0, 0.0, 0.0, tc, tf, 0.0]),
     ]
-    if r.epsg:
-        projected = r.epsg != 4326
-        tags.append((KEYS, 3, [1, 1, 0, 2, 1024, 0, 1, 1 if projected else 2, 3072 if projected else 2048, 0, 1, r.epsg]))
-    if r.nodata is not None:
-        tags.append((NODATA, 2, [bytes([c]) for c in f"{r.nodata!r}".encode() + b"\0"]))
+    if bands == 4 and a == np.uint8:
+        tags.append((EXTRA, 3, [2]))  # the fourth is opacity
+    if epsg:
+        projected = epsg != 4326
+        tags.append((KEYS, 3, [1, 1, 0, 2, 1024, 0, 1, 1 if projected else 2, 3072 if projected else 2048, 0, 1, epsg]))
+    if nodata is not None:
+        tags.append((NODATA, 2, [bytes([c]) for c in f"{nodata!r}".encode() + b"\0"]))
     assert tb == td == 0, "only north-up grids are written"
     size = 8 + 2 + 12 * len(tags) + 4
     extra, at = b"", size
@@ -201,6 +216,44 @@ def read_info(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(read, schema)
 
 
+#: Columns of a grid that rasters are written on: upper left corner, cell sizes, EPSG code and size in cells.
+GRID = ["x0", "y0", "dx", "dy", "epsg", "height", "width"]
+
+
+def raster_files(px: DataFrame, keys: list[str], files: dict[str, list[str]], dtype: str = "float32", nodata: float | None = -9999.0, tile: int = 256) -> DataFrame:
+    """(path, content) of GeoTIFFs, one for each group of keys and each of files (template of a path, with the keys' names in braces: its bands).
+
+    px: keys, the GRID columns, row, col and the bands. Tiles are compressed by tasks, a tile in each; what assembles a file holds its compressed tiles only.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in px.schema}
+    group = [*keys, *[c for c in GRID if c not in keys]]
+    each = F.array(*[F.struct(F.lit(name).alias("file"), F.array(*[F.col(c).cast("double") for c in bands]).alias("v")) for name, bands in files.items()])
+    long = px.select(*group, "row", "col", F.explode(each).alias("e")).select(*group, "row", "col", "e.*")
+    long = long.withColumns({"ty": F.floor(F.col("row") / tile), "tx": F.floor(F.col("col") / tile)})
+    fixed = ", ".join(f"`{c}` {kinds[c]}" for c in group)
+
+    def blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf.iloc[0]
+        ty, tx, bands = int(one["ty"]), int(one["tx"]), len(one["v"])
+        part = np.full((min(tile, int(one["height"]) - ty * tile), min(tile, int(one["width"]) - tx * tile), bands), 0 if nodata is None else nodata, np.dtype(dtype).newbyteorder("<"))
+        v = np.stack(pdf["v"].to_numpy()).astype(float)
+        part[pdf["row"].to_numpy() - ty * tile, pdf["col"].to_numpy() - tx * tile] = np.where(np.isfinite(v), v, 0 if nodata is None else nodata)
+        return pd.DataFrame({**{c: [one[c]] for c in group}, "file": [one["file"]], "ty": [ty], "tx": [tx], "block": [block_of(part, tile, predictor_of(dtype))]})
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf.iloc[0]
+        h, w, bands = int(one["height"]), int(one["width"]), len(files[one["file"]])
+        empty = block_of(np.full((tile, tile, bands), 0 if nodata is None else nodata, np.dtype(dtype).newbyteorder("<")), tile, predictor_of(dtype))
+        held = {(int(y), int(x)): b for y, x, b in zip(pdf["ty"], pdf["tx"], pdf["block"], strict=True)}
+        parts = [held.get((y, x), empty) for y in range(-(-h // tile)) for x in range(-(-w // tile))]
+        transform = (float(one["dx"]), 0.0, float(one["x0"]), 0.0, -float(one["dy"]), float(one["y0"]))
+        content = assembled(parts, (bands, h, w), np.dtype(dtype).newbyteorder("<"), transform, int(one["epsg"]), nodata, tile, predictor_of(dtype))
+        return pd.DataFrame({"path": [one["file"].format(**{k: one[k] for k in keys})], "content": [content]})
+
+    tiles = long.groupBy(*group, "file", "ty", "tx").applyInPandas(blocks, f"{fixed}, file string, ty int, tx int, block binary")
+    return tiles.groupBy(*group, "file").applyInPandas(whole, "path string, content binary")
+
+
 def encoded(px: DataFrame, keys: list[str], layers: list[str], transform: tuple, epsg: int, dtype: str = "float32", nodata: float = -9999.0) -> DataFrame:
     """keys and `content`: a GeoTIFF of each group's layers. A group is one grid and must fit a task's memory."""
     kinds = {f.name: f.dataType.simpleString() for f in px.schema}

@@ -167,6 +167,48 @@ def read_zipped_shapefiles(files: DataFrame, ending: str = ".shp") -> DataFrame:
     return files.select("path", "content").mapInPandas(read, SCHEMA)
 
 
+def read_shapefiles(files: DataFrame) -> DataFrame:
+    """Features of shapefiles that lie side by side (path, content of .shp, .dbf and .prj files); one that can't be read gives a row with an error."""
+    stem, ending = F.regexp_replace("path", r"(?i)\.(shp|dbf|prj)$", ""), F.lower(F.regexp_extract("path", r"\.([^.]*)$", 1))
+    sides = files.select(stem.alias("stem"), ending.alias("ending"), "path", "content").filter(F.col("ending").isin("shp", "dbf", "prj"))
+    one = sides.groupBy("stem").agg(*[F.max(F.when(F.col("ending") == e, F.col("content"))).alias(e) for e in ("shp", "dbf", "prj")], F.max(F.when(F.col("ending") == "shp", F.col("path"))).alias("path")).filter("shp is not null")
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, shp, dbf, prj in zip(batch["path"], batch["shp"], batch["dbf"], batch["prj"], strict=True):
+                try:
+                    shapes = read_shp(shp)
+                    table = read_dbf(dbf) if dbf is not None else [{} for _ in shapes]
+                    rows = [(path, None, epsg_of(prj.decode("utf-8", "replace")) if prj is not None else None, t, s, None) for s, t in zip(shapes, table, strict=False)]
+                except (ValueError, struct.error, IndexError) as e:
+                    rows = [(path, None, None, None, None, str(e) or type(e).__name__)]
+                yield frame(rows)
+
+    return one.select("path", "shp", "dbf", "prj").mapInPandas(read, SCHEMA)
+
+
+def bundle(rows: DataFrame, keys: list[str], properties: list[str], geometry: str = "geometry") -> DataFrame:
+    """(layer, path, content) of a layer's files for each group of keys (the layer's name, which is the files' stem): .shp with its side-cars and all of them zipped, .geojson and that zipped, .gpkg.
+
+    A shapefile or GeoPackage is one file, so a layer meets in one task. Polygons are in EPSG:4326.
+    """
+    kind = g.MULTI.simpleString()
+    held = rows.select(F.concat_ws("_", *[F.col(k) for k in keys]).alias("layer"), F.struct(*[F.col(p).cast("string").alias(p) for p in properties]).alias("p"), F.col(geometry).cast(kind).alias("g"))
+
+    def make(pdf: pd.DataFrame) -> pd.DataFrame:
+        stem = pdf["layer"].iloc[0]
+        pdf = pdf.assign(_o=[json.dumps(p, sort_keys=True, default=str) for p in pdf["p"]]).sort_values("_o", kind="stable")
+        shapes = [[[[(q["x"], q["y"]) for q in ring] for ring in polygon] for polygon in v] if v is not None else [] for v in pdf["g"]]
+        table = [{k: v for k, v in p.items() if v is not None} for p in pdf["p"]]
+        sides = write_shp(shapes, table, properties)
+        lines = [json.dumps({"type": "Feature", "properties": p, "geometry": {"type": "MultiPolygon", "coordinates": s}}, ensure_ascii=False) for p, s in zip(pdf["p"], shapes, strict=True)]
+        document = feature_collection(lines).encode()
+        out = {f"{stem}{e}": c for e, c in sides.items()} | {f"{stem}_shp.zip": zipped(sides, stem), f"{stem}.geojson": document, f"{stem}_geojson.zip": zipped({".geojson": document}, stem), f"{stem}.gpkg": geopackage({stem: (shapes, table, 4326)})}
+        return pd.DataFrame({"layer": stem, "path": list(out), "content": list(out.values())})
+
+    return held.groupBy("layer").applyInPandas(make, "layer string, path string, content binary")
+
+
 def frame(rows: list[tuple]) -> pd.DataFrame:
     names = ["path", "layer", "epsg", "properties", "geometry", "error"]
     out = pd.DataFrame([(*r[:3], None if r[3] is None else {k: None if v is None else str(v) for k, v in r[3].items()}, None if r[4] is None else [[[{"x": x, "y": y} for x, y in ring] for ring in p] for p in r[4]], r[5]) for r in rows], columns=names)
