@@ -24,7 +24,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write(df: DataFrame, path: str, *partitions: str) -> None:
-    files.to_csv(df, path) if path.endswith(".csv") else files.to_parquet(df, path, *partitions)
+    files.to_csv(df, path, *partitions, mark=True) if path.endswith(".csv") else files.to_parquet(df, path, *partitions)
 
 
 def settings(path: str | None, section: str) -> dict:
@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     add("label", "in", "out", "masks", "config")
     add("cluster", "in", "out", "config")
     add("train", "in", "out", "config")
+    add("score", "in", "out").add_argument("--models", required=True)
     add("validate", "in", "out", "masks")
     add("export", "in", "out", "parcels")
     add("audit", "in", "out", "manifest").add_argument("--fail-on-error", action="store_true")
@@ -110,20 +111,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif stage == "cluster":
         s = {"min_cluster_size": 40, "min_samples": 10, "pca_components": 10} | settings(a["config"], "hdbscan")
         df = read(spark, source)
-        table, summary = stages.clusters(df, numeric_of(df), s["min_cluster_size"], s["min_samples"], s["pca_components"])
+        table, summary = stages.clusters(df, numeric_of(df), s["min_cluster_size"], s["min_samples"], s["pca_components"], f"{out}/model")
         write(table, f"{out}/table")
         write(summary, f"{out}/summary")
     elif stage == "train":
         folds = settings(a["config"], "validation").get("n_splits", 5)
         boost = {k: v for k, v in settings(a["config"], "boost").items() if k in ("iterations", "learning_rate", "depth", "seed")}
-        for name, t in stages.trained(read(spark, source), folds, boost or None).items():
+        for name, t in stages.trained(read(spark, source), folds, boost or None, f"{out}/models").items():
             write(t, f"{out}/{name}")
+    elif stage == "score":
+        write(stages.scored_by(a["models"], read(spark, source)), out)
     elif stage == "validate":
         masks = vectors.read_geojson(spark, a["masks"]).select(F.md5(F.to_json("geometry")).alias("gid"), "geometry") if a["masks"] else None
         for name, t in stages.validated(read(spark, source), masks).items():
             write(t, f"{out}/{name}")
     elif stage == "export":
-        write(stages.exported(read(spark, source), read(spark, a["parcels"]) if a["parcels"] else None), out, "area", "year")
+        if a["parcels"]:  # files for each area and year
+            rows = vectors.read_geojson(spark, a["parcels"], "*")
+            shapes = rows.select(F.element_at("properties", "parcel_id").alias("parcel_id"), F.element_at("properties", "area").alias("area"), "geometry")
+            print(files.report(runs.export(spark, stages.exported(read(spark, source)).join(shapes.select("parcel_id", "area"), ["parcel_id", "area"]), shapes, out)))
+        else:
+            write(stages.exported(read(spark, source)), out, "area", "year")
     elif stage == "audit":
         info = geotiff.read_info(files.contents(spark, source, "*.tif"))
         listed = files.classified(files.listing(spark, source), source)
@@ -134,12 +142,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         issues = issues.cache()
         write(issues.withColumn("details", F.to_json("details")), f"{out}/issues")
         files.to_text(spark, audit.markdown(issues).splitlines(), f"{out}/report")
-        errors = issues.filter("severity = 'ERROR'").count()
-        print(files.report({"errors": errors, "issues": issues.count()}))
+        counts = {r.severity: r.n for r in audit.severity_counts(issues).collect()}
+        write(files.plain(rasters), f"{out}/inventory.csv")
+        write(files.plain(issues), f"{out}/issues.csv")
+        summary = {"severities": counts, "files": {r.kind: r["count"] for r in listed.groupBy("kind").count().collect()}, "codes": {r.code: r["count"] for r in issues.groupBy("code").count().collect()}}
+        files.to_text(spark, files.report(summary).splitlines(), f"{out}/summary.json")
+        errors = counts.get("ERROR", 0)
+        print(files.report({"errors": errors, "issues": sum(counts.values())}))
         return 2 if errors and a["fail_on_error"] else 0
     elif stage == "crs":
         report = stages.crs_report(geotiff.read_info(files.contents(spark, source, "*.tif"))).cache()
         write(report.withColumn("transform", F.to_json("transform")), out)
+        by = lambda c: {str(r[0]): r[1] for r in report.groupBy(c).count().collect()}
+        said = {"rows": report.count(), "errors": report.filter("error is not null").count(), "by_epsg": by("epsg"), "not_web_ready": report.filter("not web_ready").count()}
+        files.to_text(spark, [f"{k}: {v}" for k, v in said.items()], f"{out}_summary")
         return 3 if report.filter("error is not null").count() else 0
     elif stage == "context":
         hit = stages.parcel_context(vectors.read_geojson(spark, source).select(F.element_at("properties", "parcel_id").alias("parcel_id"), F.element_at("properties", "area").alias("area"), "geometry"), int(a["number"]), a["metres"], a["area"])

@@ -5,6 +5,7 @@ Each stage is a function of tables and settings that returns tables; files come
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -12,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats, text
+from ..functions.nulls import mean_of
 from ..operators import audit, clustering, features, geometry, labels, models, raster, scoring, spatial
 from ..session import written
+from ..sources import files
 
 # Order of an export's columns.
 EXPORT = ["area", "parcel_id", "cad_num", "year", "area_m2", "pred_ml_final", "pred_ml_mean", "pred_logit", "pred_boost", "pred_baseline_risk", "pred_ml_minus_baseline", "ml_disagreement", "ml_attention_flag", "label_type", "weak_target", "cluster_id", "cluster_prob", "cluster_outlier"]
@@ -120,52 +123,76 @@ def labelled(df: DataFrame, masks: DataFrame | None = None, settings: dict | Non
     return out, labels.label_pivot(out)
 
 
-def clusters(df: DataFrame, numeric: list[str], min_cluster_size: int = 40, min_samples: int = 10, components: int = 10) -> tuple[DataFrame, DataFrame]:
+def clusters(df: DataFrame, numeric: list[str], min_cluster_size: int = 40, min_samples: int = 10, components: int = 10, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The table with clusters, and their sizes and means; with path what reduces the columns is saved there."""
     keyed = df.withColumn("_key", F.concat_ws("|", "area", F.col("parcel_id").cast("string"), F.col("year").cast("string")))
-    out = clustering.clustered(models.reduced(keyed, numeric, components), ["_key"], "features", min_cluster_size, min_samples).drop("_key", "features", "_z")
+    out = clustering.clustered(models.reduced(keyed, numeric, components, path), ["_key"], "features", min_cluster_size, min_samples).drop("_key", "features", "_z")
     kept = out.select(*df.columns, "cluster_id", "cluster_prob", "cluster_outlier")
     return kept, clustering.cluster_summary(kept, numeric)
 
 
-def trained(df: DataFrame, folds: int = 5, boost: dict | None = None) -> dict[str, DataFrame]:
-    """Out-of-fold predictions, fold metrics, their summary, the chosen model's name, the whole table scored, and metrics of the last years held out.
+def trained(df: DataFrame, folds: int = 5, boost: dict | None = None, folder: str | None = None) -> dict[str, DataFrame]:
+    """Out-of-fold predictions, fold metrics, their summary, the chosen model's name, importances, the whole table scored, and metrics of the last years held out.
 
-    df: a labelled table. The baseline is scaled over the whole table; a model is trained on rows labelled 0 or 1.
+    df: a labelled table. The baseline is scaled over the whole table; a model is trained on rows labelled 0 or 1. Boosted trees stop early: by the fold's or the
+    held-out rows, in the end by the first labelled ones. With folder, models and what they need are saved there for scored_by().
     """
     numeric, categorical = text.training_features(df.columns)
     models.check_trainable(df, "weak_target")
     base = stats.with_unit_scaled(df, {"pred_baseline_risk": "baseline_risk"})
-    known = models.with_folds(base.filter("weak_target in (0, 1)"), "weak_target", "parcel_id", folds)
+    known = written(models.with_folds(base.filter("weak_target in (0, 1)"), "weak_target", "parcel_id", folds), "labelled")
+
+    def model_of(name: str, train: DataFrame, stop: DataFrame):
+        if name == "logit":
+            return models.fit_logit(train, "weak_target", numeric, categorical, "sample_weight")
+        return models.fit_boost(train, "weak_target", numeric, categorical, "sample_weight", stop, boost)
 
     def fitter(name: str):
-        def fit(train: DataFrame):
-            if name == "logit":
-                model = models.fit_logit(train, "weak_target", numeric, categorical, "sample_weight")
-            else:
-                model = models.fit_boost(train, "weak_target", numeric, categorical, "sample_weight", settings=boost)
+        def fit(train: DataFrame, stop: DataFrame):
+            model = model_of(name, train, stop)
             return lambda test: models.probability(model, test, categorical, f"pred_{name}")
 
         return fit
 
-    fits = {"logit": fitter("logit"), "boost": fitter("boost"), "baseline_risk": lambda train: lambda test: test}
+    names = ("logit", "boost")
+    fits = {n: fitter(n) for n in names} | {"baseline_risk": lambda train, stop: lambda test: test}
     oof, metrics = models.cross_validated(known, "weak_target", fits, folds)
     summary = scoring.cv_summary(metrics, ["roc_auc", "pr_auc", "logloss", "brier"])
     best = scoring.best_model(summary.filter("model <> 'baseline_risk'"))
-    scored = base
-    for name in ("logit", "boost"):
-        scored = fits[name](known)(scored)
-    final = f"pred_{best.first()['model']}"
-    scored = scoring.combined_predictions(scored, ["pred_logit", "pred_boost"], final)
-    out = {"oof": oof, "fold_metrics": metrics, "summary": summary, "best": best, "scored": scored}
+    order = [c for c in ("area", "parcel_id", "year") if c in known.columns]
+    first = scoring.early_stop_rows(known, "weak_target", order).filter("eval_row").select(*known.columns)
+    final = {n: model_of(n, known, first) for n in names}
+    about = {"numeric": numeric, "categorical": categorical, "final": f"pred_{best.first()['model']}"}
+    if folder:
+        for n, m in final.items():
+            models.saved(m, f"{folder}/{n}")
+        files.to_text(df.sparkSession, [json.dumps(about)], f"{folder}/schema")
+    out = {"oof": oof, "fold_metrics": metrics, "summary": summary, "best": best, "importance": models.importances(final["boost"], df.sparkSession), "scored": scored_with(base, final, about)}
     last = scoring.latest_years(known)
-    train, test = last.filter("not is_latest"), last.filter("is_latest")
+    train, test = last.filter("not is_latest").drop("is_latest"), last.filter("is_latest").drop("is_latest")
     if test.count() >= 10 and all(d.select("weak_target").distinct().count() == 2 for d in (train, test)):
-        for name in ("logit", "boost"):
-            test = fits[name](train)(test)
-        out["holdout"] = scoring.model_metrics(test, "weak_target", ["pred_logit", "pred_boost", "pred_baseline_risk"])
+        held = test
+        for n in names:
+            held = fits[n](train, test)(held)
+        held = held.withColumn("pred_ml_mean", mean_of([F.col(f"pred_{n}") for n in names]))
+        out["holdout"] = scoring.model_metrics(held, "weak_target", ["pred_baseline_risk", "pred_logit", "pred_boost", "pred_ml_mean"])
     return out
 
 
+def scored_with(df: DataFrame, fitted: dict, about: dict) -> DataFrame:
+    """df with the predictions of the fitted models, their mean, the final pick and its gap to the baseline."""
+    out = df if "pred_baseline_risk" in df.columns else stats.with_unit_scaled(df, {"pred_baseline_risk": "baseline_risk"})
+    for n, m in fitted.items():
+        out = models.probability(m, out, about["categorical"], f"pred_{n}")
+    return scoring.combined_predictions(out, [f"pred_{n}" for n in fitted], about["final"])
+
+
+def scored_by(folder: str, df: DataFrame) -> DataFrame:
+    """df scored by the models that trained() saved in a folder."""
+    about = json.loads(df.sparkSession.read.text(f"{folder}/schema").first().value)
+    return scored_with(df, {n: models.loaded(f"{folder}/{n}") for n in ("logit", "boost")}, about)
+
+
 def validated(scored: DataFrame, masks: DataFrame | None = None, cell: float = 0.01) -> dict[str, DataFrame]:
     """Metrics of each prediction on labelled rows, and with masks (gid, geometry) the statistics inside and outside them."""
     names = [c for c in ("pred_baseline_risk", "pred_logit", "pred_boost", "pred_ml_mean", "pred_ml_final") if c in scored.columns]

@@ -134,6 +134,36 @@ def test_training_end_to_end(spark):
         models.check_trainable(df.limit(10), "weak_target")
 
 
+def test_early_stop_and_saved_models(spark, tmp_path):
+    df, _ = stages.labelled(features.with_temporal(rows_of(spark), features.TEMPORAL))
+    df = df.cache()
+    folder = str(tmp_path / "models")
+    out = stages.trained(df, 2, {"iterations": 8, "depth": 2, "learning_rate": 0.5}, folder)
+    again = {(r.parcel_id, r.year): r for r in stages.scored_by(folder, df).collect()}
+    for r in out["scored"].collect():
+        other = again[r.parcel_id, r.year]
+        assert (r.pred_logit, r.pred_boost, r.pred_ml_final) == pytest.approx((other.pred_logit, other.pred_boost, other.pred_ml_final))
+    assert {r.model for r in out["holdout"].collect()} == {"pred_baseline_risk", "pred_logit", "pred_boost", "pred_ml_mean"}
+    assert out["importance"].agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+
+
+def test_regression_and_trees_on_plain_data(spark):
+    """A separable column is found by both; a regression without signal gives the balanced share."""
+    rng = np.random.default_rng(6)
+    rows = [(float(x), float(z), None if i % 11 == 0 else "ab"[i % 2], int(x > 0.3)) for i, (x, z) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "x double, z double, c string, y int")
+    for fit in (models.fit_logit, lambda *a: models.fit_boost(*a, settings={"iterations": 5, "depth": 2})):
+        got = models.probability(fit(df, "y", ["x", "z"], ["c"]), df, ["c"], "p").collect()
+        assert np.mean([(r.p > 0.5) == bool(r.y) for r in got]) > 0.95
+    # Validation rows that the trees learn nothing about end the training early.
+    noise = df.withColumn("y", (F.pmod(F.xxhash64("z"), F.lit(2))).cast("int"))
+    few = models.fit_boost(df, "y", ["x", "z"], [], validation=noise, settings={"iterations": 30, "depth": 2, "learning_rate": 0.5})
+    assert few.stages[-1].getNumTrees < 30
+    flat = models.probability(models.fit_logit(df.withColumn("z", F.lit(1.0)), "y", ["z"], []), df.withColumn("z", F.lit(1.0)), [], "p").agg(F.avg("p")).first()[0]
+    assert flat == pytest.approx(0.5, abs=1e-6)
+    assert scoring.early_stop_rows(df, "y", ["x"], whole=5, each=7).filter("eval_row").groupBy("y").count().filter("count = 7").count() == 2
+
+
 def test_groups_stay_in_one_fold(spark):
     df = rows_of(spark).withColumn("y", (F.substring("parcel_id", 2, 5).cast("int") % 4 == 0).cast("int"))
     out = models.with_folds(df, "y", "parcel_id", 4)
