@@ -482,6 +482,43 @@ def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
+def least_distance(a: np.ndarray, b: np.ndarray, at_once: int = 256) -> float:
+    """Least distance of two sets of edges (x0, y0, x1, y1) that don't cross: of one's ends to the other's edges."""
+    best = np.inf
+    for one, two in ((a, b), (b, a)):
+        d = two[:, 2:] - two[:, :2]
+        size = np.maximum((d**2).sum(axis=1), 1e-300)
+        for i in range(0, len(one), at_once):
+            for ends in (one[i : i + at_once, :2], one[i : i + at_once, 2:]):
+                w = ends[:, None, :] - two[None, :, :2]
+                t = np.clip((w * d[None]).sum(axis=2) / size, 0.0, 1.0)
+                best = min(best, float((((w - t[..., None] * d[None]) ** 2).sum(axis=2)).min(initial=np.inf)))
+    return math.sqrt(best)
+
+
+def sides_of(shape: Shape) -> np.ndarray:
+    """All edges of a shape, level ones too."""
+    return np.array([(*p, *q) for polygon in shape for ring in polygon for p, q in pairwise([*ring, ring[0]])], float).reshape(-1, 4)
+
+
+def nearer_than(limit: float):
+    """A function of two geometry columns: whether they share area or come as near as the limit, which is whether closing by half of it joins them."""
+
+    @F.arrow_udf(T.BooleanType())
+    def near(a: pa.Array, b: pa.Array) -> pa.Array:
+        rows, flat = shared_shapes(a, b)
+        hit = np.array([bool(r) for r in rows], bool)
+        if flat is not None:
+            hit[flat[0]] = flat[3] > 0
+        one, two = Shapes(a), Shapes(b)
+        for i in np.flatnonzero(~hit):
+            x, y = sides_of(one.shape(i)), sides_of(two.shape(i))
+            hit[i] = len(x) > 0 and len(y) > 0 and least_distance(x, y) <= limit
+        return pa.array(hit)
+
+    return near
+
+
 @F.arrow_udf(POINT)
 def inner_point(a: pa.Array) -> pa.Array:
     """A point inside: the middle of the widest piece at the middle height; NULL without area."""

@@ -114,11 +114,12 @@ def burned(px: DataFrame, shapes: DataFrame, size: int = 16, fill: float = -9999
 
 
 def zones_of(footprints: DataFrame, size: float, gap: float = 0.0) -> DataFrame:
-    """(fid, zone_id): footprints (fid, geometry) joined to zones where they overlap, or their boxes come as near as `gap`; ZONE_001 holds the least fid."""
+    """(fid, zone_id): footprints (fid, geometry) joined to zones where they overlap, or closing by `gap` (that much outwards and back) would join them: their outlines
+    come as near as twice that. ZONE_001 holds the least fid."""
     f = with_bounds(footprints.select("fid", "geometry"))
-    wide = f.select(F.col("fid").alias("lid"), F.col("geometry").alias("lg"), *[(F.col(c) - gap if c.endswith("min") else F.col(c) + gap).alias(c) for c in BOX])
+    wide = f.select(F.col("fid").alias("lid"), F.col("geometry").alias("lg"), *[(F.col(c) - 2 * gap if c.endswith("min") else F.col(c) + 2 * gap).alias(c) for c in BOX])
     pairs = box_pairs(wide, f.select(F.col("fid").alias("rid"), F.col("geometry").alias("rg"), *BOX), size).filter("lid < rid")
-    pairs = pairs.filter(g.intersects("lg", "rg")) if gap == 0 else pairs
+    pairs = pairs.filter(g.intersects("lg", "rg") if gap == 0 else g.nearer_than(2 * gap)("lg", "rg"))
     roots = merged(pairs.select(F.col("lid").alias("a"), F.col("rid").alias("b")))
     held = footprints.select("fid").join(roots.withColumnRenamed("node", "fid"), "fid", "left").withColumn("root", F.coalesce("root", "fid"))
     numbers = numbered(held.select("root").distinct(), ["root"], "_n").select("root", F.format_string("ZONE_%03d", "_n").alias("zone_id"))

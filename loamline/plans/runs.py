@@ -349,6 +349,13 @@ def palette_of(png: bytes) -> np.ndarray:
     return np.round(rgb[:, first:last].mean(axis=1)).astype(np.uint8)
 
 
+def png_of(colours: list, margin: int = 0, width: int = 4) -> bytes:
+    """A palette image of these colours, top to bottom, between white margins."""
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    lines = b"".join(b"\0" + b"\xff" * (3 * margin) + bytes(c) * width + b"\xff" * (3 * margin) for c in colours)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width + 2 * margin, len(colours), 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
 def palette_table(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     (row,) = files.contents(spark, path).collect()  # one small image
     colours = palette_of(bytes(row.content))

@@ -153,14 +153,15 @@ def zipped_tables(spark: SparkSession, path: str, columns: list[str] = CADASTRE,
 
 def zip_members(files: DataFrame, ending: str = ".gbd.shp") -> DataFrame:
     """(path, member) of archive members with an ending, in order."""
+    schema = pa.schema([("path", pa.string()), ("member", pa.string())])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for p, c in zip(batch["path"], batch["content"], strict=True):
-                names = sorted(n for n in zipfile.ZipFile(io.BytesIO(c)).namelist() if n.lower().endswith(ending))
-                yield pd.DataFrame({"path": [p] * len(names), "member": names})
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                names = sorted(n for n in zipfile.ZipFile(io.BytesIO(content.as_py())).namelist() if n.lower().endswith(ending))
+                yield pa.RecordBatch.from_pydict({"path": [path] * len(names), "member": names}, schema=schema)
 
-    return files.mapInPandas(read, "path string, member string")
+    return files.select("path", "content").mapInArrow(read, "path string, member string")
 
 
 def cadastre(rows: DataFrame) -> DataFrame:

@@ -154,3 +154,19 @@ def test_columns_of_uneven_shapes(spark):
         else:
             assert r.both == 0 and r.valid is None and r.ok is None
         assert r.hit == (r.both > 0)
+
+
+def test_zones_by_closing(spark):
+    """Squares in a row, one step diagonal: joined when outlines are within twice the gap, by their true distance and not their boxes'."""
+    corners = [(0.0, 0.0), (1.5, 0.0), (3.2, 0.0), (4.6, 1.4)]
+    tilted = "POLYGON ((20 0, 21 1, 20 2, 19 1, 20 0))"
+    near_box = "POLYGON ((20.9 1.9, 21.5 1.9, 21.5 2.5, 20.9 2.5, 20.9 1.9))"  # its box touches the tilted square's, its outline is 0.57 away
+    wkt = [f"POLYGON (({x} {y}, {x + 1} {y}, {x + 1} {y + 1}, {x} {y + 1}, {x} {y}))" for x, y in corners] + [tilted, near_box]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(wkt)], "fid long, w string").select("fid", g.from_wkt(F.col("w")).alias("geometry"))
+    zones = lambda gap: {r.fid: r.zone_id for r in spatial.zones_of(df, 2.0, gap).collect()}
+    assert len(set(zones(0.0).values())) == 6
+    got = zones(0.26)  # 0.5 joins the first two; 0.7, and 0.4 by 0.4 across the corner (0.566), don't
+    assert got[0] == got[1] and len({got[i] for i in (1, 2, 3)}) == 3 and got[4] != got[5]
+    got = zones(0.3)
+    assert got[2] == got[3] != got[1] and got[4] == got[5]
+    assert len({zones(0.4)[i] for i in range(4)}) == 1
