@@ -94,3 +94,46 @@ def test_words_put_into_templates():
     half = li.MIT.split()
     (one,) = li.Finder({"MIT": li.MIT}, 0.8).find(" ".join([*half[:40], *["foreign"] * 80, *half[40:]]))
     assert one[3] == one[4]
+
+
+def test_recall_against_a_plain_scan():
+    """Whole templates with a run of foreign words put in anywhere, within a template's reach, in long prose: a plain scan that aligns everywhere finds each; so must the windows."""
+    rng = random.Random(8)
+    finder = li.Finder(li.TEMPLATES, 0.8)
+    prose = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    cases = found = 0
+    for name, text in li.TEMPLATES.items():
+        t = li.Template(name, text, 0.8)
+        for run in (1, 5, 15, 25, 40):
+            if run > t.reach - len(t.words) and run >= len(t.words):
+                continue  # beyond what the docstring promises for so short a template
+            for _ in range(10):
+                at = rng.randrange(1, len(t.words))
+                words = prose(60) + t.words[:at] + prose(run) + t.words[at:] + prose(60)
+                assert longest(words, t.words) == len(t.words)  # the plain scan
+                cases += 1
+                found += any(n == of == len(t.words) for *_, n, of in finder.find(" ".join(words)))
+    assert cases > 300 and found / cases >= 0.99
+
+
+def test_edited_templates_against_a_plain_scan():
+    """Words left out, changed and put in, at random: a template is found just where a plain alignment of the whole text reaches the coverage."""
+    rng = random.Random(9)
+    prose = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    right = cases = 0
+    for name, text in li.TEMPLATES.items():
+        alone, t = li.Finder({name: text}, 0.8), li.Template(name, text, 0.8)
+        for _ in range(12):
+            keep = rng.choice((0.6, 0.75, 0.85, 0.95))
+            words = prose(30)
+            for w in t.words:
+                if rng.random() < keep:
+                    words.append(w)
+                if rng.random() < 0.1:
+                    words += prose(rng.randrange(1, 4))
+            words += prose(30)
+            best = longest(words, t.words)
+            got = max((n for *_, n, _ in alone.find(" ".join(words))), default=0)
+            cases += 1
+            right += got == (best if best >= t.least else 0)
+    assert right / cases >= 0.99
