@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import text
 from .operators import audit, geometry, raster, scenes
-from .plans import runs, stages
+from .plans import charts, runs, stages
 from .session import session
 from .sources import files, geotiff, vectors
 
@@ -27,6 +27,11 @@ def write(df: DataFrame, path: str, *partitions: str) -> None:
     files.to_csv(df, path, *partitions, mark=True) if path.endswith(".csv") else files.to_parquet(df, path, *partitions)
 
 
+def draw(spark: SparkSession, out: str, pictures: dict[str, str]) -> None:
+    for name, svg in pictures.items():
+        runs.out_files(spark, runs.small_file(spark, f"charts/{name}.svg", svg), out)
+
+
 def settings(path: str | None, section: str) -> dict:
     if not path:
         return {}
@@ -101,8 +106,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif stage == "diagnose":
         df = read(spark, source)
         df = df.withColumn("_row", F.xxhash64(*df.columns))
-        for name, t in stages.diagnostics(df, numeric_of(df), "_row").items():
+        made = stages.diagnostics(df, numeric_of(df), "_row")
+        for name, t in made.items():
             write(t, f"{out}/{name}")
+        draw(spark, out, {"spearman": charts.correlations(made["spearman"]), "missing": charts.bars(made["missing"], "column", "missing_share", "Missing shares")})
     elif stage == "label":
         masks = vectors.read_geojson(spark, a["masks"]).select(F.md5(F.to_json("geometry")).alias("gid"), "geometry") if a["masks"] else None
         table, pivot = stages.labelled(read(spark, source), masks, settings(a["config"], "labels"))
@@ -123,8 +130,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write(stages.scored_by(a["models"], read(spark, source)), out)
     elif stage == "validate":
         masks = vectors.read_geojson(spark, a["masks"]).select(F.md5(F.to_json("geometry")).alias("gid"), "geometry") if a["masks"] else None
-        for name, t in stages.validated(read(spark, source), masks).items():
+        made = stages.validated(read(spark, source), masks)
+        for name, t in made.items():
             write(t, f"{out}/{name}")
+        pictures = {"roc_auc": charts.bars(made["internal"], "model", "roc_auc", "ROC-AUC by model")}
+        if "external" in made:
+            lifts = [c for c in made["external"].columns if c.endswith("_lift")]
+            pictures |= {c: charts.series(made["external"], "year", c, "area", c) for c in lifts}
+        draw(spark, out, pictures)
     elif stage == "export":
         if a["parcels"]:  # files for each area and year
             rows = vectors.read_geojson(spark, a["parcels"], "*")
@@ -158,9 +171,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         files.to_text(spark, [f"{k}: {v}" for k, v in said.items()], f"{out}_summary")
         return 3 if report.filter("error is not null").count() else 0
     elif stage == "context":
-        hit = stages.parcel_context(vectors.read_geojson(spark, source).select(F.element_at("properties", "parcel_id").alias("parcel_id"), F.element_at("properties", "area").alias("area"), "geometry"), int(a["number"]), a["metres"], a["area"])
+        parcels = vectors.read_geojson(spark, source).select(F.element_at("properties", "parcel_id").alias("parcel_id"), F.element_at("properties", "area").alias("area"), "geometry")
+        hit = stages.parcel_context(parcels, int(a["number"]), a["metres"], a["area"])
         write(hit.withColumn("geometry", geometry.to_geojson(F.col("geometry"))), out)
-        return 0 if hit.limit(1).count() else 3
+        if not hit.limit(1).count():
+            return 3
+        draw(spark, f"{out}_map", {"context": charts.context(parcels, hit, f"Parcel {a['number']}")})
+        return 0
     elif stage == "cadastre":
         print(files.report(runs.cadastre(spark, source, out)))
     elif stage == "run":

@@ -64,6 +64,28 @@ def with_hit(df: DataFrame, keys: list[str], hits: DataFrame, name: str) -> Data
     return df.join(hits.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
+def line_work(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """df with a row for each side of its outlines: (ax, ay) to (bx, by) instead of the geometry."""
+    sides = F.flatten(F.flatten(F.transform(geometry, lambda polygon: F.transform(polygon, g.steps))))
+    rows = df.withColumn("_s", F.explode(sides)).withColumns({"ax": F.col("_s.a.x"), "ay": F.col("_s.a.y"), "bx": F.col("_s.b.x"), "by": F.col("_s.b.y")}).drop("_s", geometry)
+    return rows.filter("ax <> bx or ay <> by")
+
+
+def clipped_lines(lines: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
+    """The parts of lines (ax, ay to bx, by) inside a box; lines outside, and those that only touch it in a point, are left out."""
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    walls = [(-dx, F.col("ax") - x0), (dx, x1 - F.col("ax")), (-dy, F.col("ay") - y0), (dy, y1 - F.col("ay"))]
+    enter = F.greatest(F.lit(0.0), *[F.when(p < 0, q / p) for p, q in walls])
+    leave = F.least(F.lit(1.0), *[F.when(p > 0, q / p) for p, q in walls])
+    there = enter < leave
+    for p, q in walls:
+        there = there & ((p != 0) | (q >= 0))
+    cut = lines.filter(there).withColumns({"_in": enter, "_out": leave})
+    at = lambda a, b, t: F.col(a) + (F.col(b) - F.col(a)) * F.col(t)
+    ends = {"_ax": at("ax", "bx", "_in"), "_ay": at("ay", "by", "_in"), "_bx": at("ax", "bx", "_out"), "_by": at("ay", "by", "_out")}
+    return cut.withColumns(ends).drop("ax", "ay", "bx", "by", "_in", "_out").withColumnsRenamed({"_ax": "ax", "_ay": "ay", "_bx": "bx", "_by": "by"})
+
+
 def clipped_to(parcels: DataFrame, aoi: DataFrame, size: float) -> DataFrame:
     """Parcels cut to an AOI's polygons (gid, geometry): one row for each pair that shares area, with parcel_id and the shared geometry."""
     a = with_bounds(parcels.select(F.col("parcel_id").alias("lid"), F.col("geometry").alias("lg"), "geometry")).drop("geometry")

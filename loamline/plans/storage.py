@@ -330,6 +330,13 @@ def overlay_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _polygons(spark, sf_dir).select("gid", F.round(geometry.area(geometry.difference("geometry", hole)), 6).alias("outside"))
 
 
+@query(f"WITH {BX}, s AS (SELECT gid, xmin AS ax, xmax AS bx, unnest([ymin, ymax]) AS y, 0 AS up FROM bx UNION ALL SELECT gid, ymin, ymax, unnest([xmin, xmax]), 1 FROM bx) SELECT gid, round(sum(CASE WHEN up = 0 AND y BETWEEN 200 AND 700 THEN greatest(least(bx, 600) - greatest(ax, 300), 0) WHEN up = 1 AND y BETWEEN 300 AND 600 THEN greatest(least(bx, 700) - greatest(ax, 200), 0) ELSE 0 END), 6) AS inside FROM s GROUP BY gid HAVING sum(CASE WHEN up = 0 AND y BETWEEN 200 AND 700 THEN greatest(least(bx, 600) - greatest(ax, 300), 0) WHEN up = 1 AND y BETWEEN 300 AND 600 THEN greatest(least(bx, 700) - greatest(ax, 200), 0) ELSE 0 END) > 0")
+def clipped_line_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length of each outline inside a box."""
+    cut = spatial.clipped_lines(spatial.line_work(_polygons(spark, sf_dir).select("gid", "geometry")), F.lit(300.0), F.lit(200.0), F.lit(600.0), F.lit(700.0))
+    return cut.groupBy("gid").agg(F.round(F.sum(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))), 6).alias("inside"))
+
+
 @query(f"WITH {BX}, k AS (SELECT gid // 50 AS grp, gid, xmin, ymin, xmax, ymax FROM bx), e AS (SELECT k.grp, x.x AS x0, lead(x.x) OVER (PARTITION BY k.grp ORDER BY x.x) AS x1 FROM (SELECT DISTINCT grp FROM k) k JOIN (SELECT DISTINCT grp, unnest([xmin, xmax]) AS x FROM k) x ON x.grp = k.grp), f AS (SELECT k.grp, y.y AS y0, lead(y.y) OVER (PARTITION BY k.grp ORDER BY y.y) AS y1 FROM (SELECT DISTINCT grp FROM k) k JOIN (SELECT DISTINCT grp, unnest([ymin, ymax]) AS y FROM k) y ON y.grp = k.grp) SELECT CAST(e.grp AS BIGINT) AS grp, round(sum((x1 - x0) * (y1 - y0)), 4) AS area FROM e JOIN f ON f.grp = e.grp WHERE x1 IS NOT NULL AND y1 IS NOT NULL AND EXISTS (SELECT 1 FROM k WHERE k.grp = e.grp AND k.xmin <= x0 AND k.xmax >= x1 AND k.ymin <= y0 AND k.ymax >= y1) GROUP BY e.grp")
 def dissolved_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The union of each group of boxes, against the sum of the cells of the grid that their sides make."""
