@@ -94,7 +94,7 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), uri
     try:
         return pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + sep + rest if sep else uri)
-    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as e:
         raise ValueError(f"binary files can't be written under {uri!r}: Arrow has no file system for it; name a folder in another store ({e})") from e
 
 
