@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import dropped, new_dir, written
+from ..session import dropped, new_dir, opened, written
 
 #: Bytes up to which a table may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 100 << 20
@@ -22,7 +22,7 @@ BROADCAST_BYTES = 100 << 20
 
 #: Bytes and rows of an Arrow batch between Spark and Python while a table is written: JVM and worker hold several copies of one, rows of lists as Python objects too, and
 #: Spark's own 64 MB or 10,000 rows are too many of them.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 discard = dropped
 
@@ -47,24 +47,6 @@ def materialise(df: DataFrame, label: str, codec: str = "uncompressed") -> DataF
         return written(df, label, codec)
 
 
-#: Names of schemes to Spark, and to Arrow's file systems.
-SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
-
-
-def opened(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI, for binary files that executors write and read: local, HDFS, S3, Google and Azure stores, with what their machines are set up with.
-
-    Any other scheme raises a ValueError that names it, on the driver before anything runs (new_files()).
-    """
-    scheme, sep, rest = uri.partition("://")
-    if not sep and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), uri
-    try:
-        return pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + sep + rest if sep else uri)
-    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
-        raise ValueError(f"binary files can't be written under {uri!r}: Arrow has no file system for it; name a folder in another store ({e})") from e
-
-
 def new_files(spark: SparkSession, label: str, directory: str | None = None) -> str:
     """URI of a new folder for binary files (or the one given), once it is known that they can be written there."""
     uri = directory or new_dir(spark, label)
@@ -89,7 +71,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of each word seen; emptied when it holds many, so memory stays bounded."""
 
-    most = 200_000
+    most = 120_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.most:
@@ -144,6 +126,13 @@ def grouped_rows(batches: Iterator[pa.RecordBatch], keys: list[str], most: int =
         yield held
 
 
+def released() -> None:
+    """Gives memory that a task has freed back to the system: its worker goes on to other tasks beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batched(rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 2000, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches of bounded rows and bytes from row tuples."""
     held: list[tuple] = []
@@ -156,7 +145,7 @@ def batched(rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 2000, mos
             held, weight = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
-    pa.default_memory_pool().release_unused()  # a worker goes on to other tasks
+    released()
 
 
 # ---------------------------------------------------------------- graph components

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import batched, materialise, new_files, opened
+from .shared import batched, materialise, new_files, opened, released
 
 LENGTH = 2048
 #: Sequences in a batch.
@@ -189,6 +189,7 @@ def writer(directory: str, tokenizer: str, end_id: int | None, length: int):
         index.close()
         for f in files:
             f.done()
+        released()
         yield pa.RecordBatch.from_pylist([{"shard": shard, "seq_uri": seq_uri, "doc_uri": doc_uri, "n_docs": n_docs, "n_tokens": n_tokens, "n_sequences": n_sequences}], schema=SHARDS)
 
     return run

@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import public_tokenizers
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loamline.llm import mixing
@@ -47,3 +48,13 @@ def test_stages(spark, sf_dir):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_columns_of_any_name_keep_their_values(spark, sf_dir):
+    names = ["_lang", "_host", "_s", "_prior", "_id", "_taken", "_rows", "_copy", "_leaked", "row", "kept", "component_id", "count"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialise(stage(spark, docs, sf_dir), "test")
+    rows = docs.collect()
+    assert len(rows) > 100 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)

@@ -7,6 +7,8 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
+from loamline import session
+from loamline.llm import shared, warc
 from loamline.llm import tokenfiles as tf
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -61,3 +63,16 @@ def test_words_encode_like_whole_texts(name):
     for _ in range(3000):
         text = "".join(rng.choice(signs) for _ in range(rng.randrange(30)))
         assert own.encode([text])[0].tolist() == own.of.encode(text, add_special_tokens=False).ids
+
+
+def test_stores_that_binary_files_cannot_reach_are_refused_at_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    pages = spark.createDataFrame([(1, "u", "a")], "page_id long, url string, html string")
+    for run in (lambda: tf.token_output(docs, WORDS, 2, directory="oss://c/x"), lambda: warc.archived(pages, "oss://c/x")):
+        with pytest.raises(ValueError, match="oss"):
+            run()
+    asked = []
+    monkeypatch.setattr(session.pafs.FileSystem, "from_uri", lambda uri: asked.append(uri) or (None, ""))
+    for uri in ("s3a://b/x", "hdfs://n/x", "file:///x"):
+        shared.new_files(spark, "t", uri)
+    assert asked == ["s3://b/x", "hdfs://n/x", "file:///x"]
