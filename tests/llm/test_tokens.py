@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -72,7 +73,7 @@ def test_stores_that_binary_files_cannot_reach_are_refused_at_once(spark, monkey
         with pytest.raises(ValueError, match="oss"):
             run()
     asked = []
-    monkeypatch.setattr(session.pafs.FileSystem, "from_uri", lambda uri: asked.append(uri) or (None, ""))
+    monkeypatch.setattr(session, "pafs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=lambda uri: asked.append(uri) or (None, ""))))
     for uri in ("s3a://b/x", "hdfs://n/x", "file:///x"):
         shared.new_files(spark, "t", uri)
     assert asked == ["s3://b/x", "hdfs://n/x", "file:///x"]
