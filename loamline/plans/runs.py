@@ -94,6 +94,12 @@ def scene_catalog(spark: SparkSession, root: str) -> DataFrame:
     return listed.withColumn("dir", F.regexp_replace("tif_path", r"/[^/]*$", "")).join(dirs, "dir", "left_semi")
 
 
+def grid_cells(grids: DataFrame) -> DataFrame:
+    """grids (height, width) with a row for each cell (row, col): rows are dealt out before they are spread over columns, so a large grid is made by many tasks."""
+    rows = grids.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("height") - 1)))
+    return rows.repartition("row").withColumn("col", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
+
+
 def area_grids(info: DataFrame, outlines: DataFrame) -> DataFrame:
     """(area and the GRID columns): the finest scene's cells over the bounds of the area's outline. info: area, path, transform, epsg; outlines: area, geometry in degrees."""
     best = scenes.reference_scene(info.withColumns({"a": F.get("transform", F.lit(0)), "e": F.get("transform", F.lit(4))}), ["area"]).join(info.select("path", "epsg"), "path")
@@ -115,7 +121,7 @@ def on_grids(px: DataFrame, info: DataFrame, grids: DataFrame, layers: list[str]
     scene = info.select("path", "area", t(0).alias("a"), t(2).alias("c"), t(4).alias("e"), t(5).alias("f"), F.col("epsg").alias("own"), F.col("width").alias("w"), F.col("height").alias("h"))
     pairs = scene.join(grids, "area")
     codes = [(r.epsg, r.own) for r in pairs.select("epsg", "own").distinct().collect()]
-    cells = pairs.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("height") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
+    cells = grid_cells(pairs)
     gx, gy = F.col("x0") + (F.col("col") + 0.5) * F.col("dx"), F.col("y0") - (F.col("row") + 0.5) * F.col("dy")
     x, y = gx, gy
     for grid_code, own in codes:
@@ -183,7 +189,7 @@ def run(spark: SparkSession, root: str, out: str, parcels: str | None = None, de
     grids = written(area_grids(info, areas), "grids")
     order = sorted(bands, key=bands.get)
     stack = on_grids(geotiff.read_pixels(held, max(bands.values()), [next((b for b in order if bands[b] == i), f"_{i}") for i in range(1, max(bands.values()) + 1)]).select("path", "row", "col", *raster.BANDS), info, grids, raster.BANDS)
-    inside = spatial.pixels_in_polygons(grids.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("height") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("width") - 1))).select("area", "row", "col"), in_cells_of(areas.withColumn("zone", F.lit(1)), grids), own=["area"])
+    inside = spatial.pixels_in_polygons(grid_cells(grids).select("area", "row", "col"), in_cells_of(areas.withColumn("zone", F.lit(1)), grids), own=["area"])
     pixels = written(stack.join(inside.select("area", "row", "col").distinct(), ["area", "row", "col"], "left_semi").join(chosen.select("path", "year", "season"), "path").withColumnRenamed("path", "scene_id"), "pixels")
     zones = clipped = None
     if parcels:
