@@ -45,7 +45,7 @@ BETWEEN = re.compile(r"[ \t\n\r]")
 class WordTokens:
     """Ids of whole texts. Where the tokenizer drops white space and no piece spans it, pieces are encoded once and kept in a bounded cache."""
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.of = Tokenizer.from_file(path)
         self.most, self.known = most, {}
