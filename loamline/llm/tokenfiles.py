@@ -42,13 +42,20 @@ RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+")
 BETWEEN = re.compile(r"[ \t\n\r]")
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in byte-level vocabularies: visible ones for themselves, the others for 256 and on in order."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(own))}
+
+
 class WordTokens:
-    """Ids of whole texts. Where the tokenizer drops white space and no piece spans it, pieces are encoded once and kept in a bounded cache."""
+    """Ids of whole texts. Where the tokenizer drops white space and no piece spans it, pieces are encoded once and kept in a cache of two generations:
+    when the younger is full it becomes the older, and what is met again moves to the younger, so frequent pieces stay."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.of = Tokenizer.from_file(path)
-        self.most, self.known = most, {}
+        self.most, self.known, self.older = most, {}, {}
         self.dtype = np.uint16 if self.of.get_vocab_size() <= 1 << 16 else np.uint32
         ids = lambda s: self.of.encode(s, add_special_tokens=False).ids
         probes = [("a", "b"), ("don't", "'s"), ("1", "2"), ("!", "?"), ("é", "\u0301x"), ("a.", ".b")]
@@ -56,8 +63,10 @@ class WordTokens:
         about = json.loads(self.of.to_str())
         split = ((about.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         self.by_run = self.by_word and split.get("pattern") == {"Regex": RUNS_PATTERN} and about["model"].get("end_of_word_suffix") == WORD_END and ids("Ab!") == ids("ab") + ids("!")
-        self.ends = np.zeros(self.of.get_vocab_size(), bool)
-        self.ends[[i for t, i in self.of.get_vocab().items() if t.endswith(WORD_END)]] = True
+        # Plain pieces are normal and split already: the model alone gives their ids, once their bytes are written as its signs.
+        self.signs = byte_signs()
+        kinds = [x.get("type") for x in (about.get("pre_tokenizer") or {}).get("pretokenizers") or []]
+        self.by_model = self.by_run and kinds == ["Split", "ByteLevel"] and all(self.direct(p) == ids(p) for p in ("a", "straße", "çé", "ÿ", "7", "!?", "-", "\\", "abcdefghijklmnop" * 9))
 
     def pieces(self, text: str) -> list[str]:
         """Runs of plain words, and other words whole."""
@@ -81,29 +90,40 @@ class WordTokens:
         if not self.by_word:
             return [np.array(e.ids, self.dtype) for e in self.of.encode_batch_fast(texts, add_special_tokens=False)]
         split = [self.pieces(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
         new: set[str] = set()
         for pieces in split:
             new.update(pieces)
-        self.learn([p for p in new if p not in self.known])
-        found = self.known.__getitem__
+        known, older = self.known, self.older
+        unknown = [p for p in new if p not in known]
+        known.update([(p, older[p]) for p in unknown if p in older])
+        self.learn([p for p in unknown if p not in older])
+        found = known.__getitem__
         return [np.frombuffer(b"".join(map(found, pieces)), self.dtype) for pieces in split]
 
+    def direct(self, piece: str) -> list[int]:
+        """Ids of a plain piece by the model."""
+        return [t.id for t in self.of.model.tokenize(piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs))]
+
     def learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if not SPECIAL.search(p)] if self.by_run else []
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            ids = np.array(self.of.encode(" ".join(part), add_special_tokens=False).ids, self.dtype)
-            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cut) == len(part) and cut[-1] == len(ids):
-                raw, width = ids.tobytes(), ids.itemsize
-                self.known.update(zip(part, [raw[a * width : b * width] for a, b in zip([0, *cut[:-1]], cut, strict=True)], strict=True))
-            else:
-                pieces = pieces + part
-        for p in pieces:
-            if p not in self.known:
-                self.known[p] = np.array(self.of.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
+        rest = pieces
+        if self.by_model:
+            tokenize, signs = self.of.model.tokenize, self.signs
+            flat: list[int] = []
+            cut = [0]
+            plain, rest = [], []
+            for p in pieces:
+                if SPECIAL.search(p):
+                    rest.append(p)
+                    continue
+                flat += [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(signs))]
+                plain.append(p)
+                cut.append(len(flat))
+            raw, width = np.array(flat, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+            self.known.update((p, raw[a * width : b * width]) for p, a, b in zip(plain, cut, cut[1:], strict=False))
+        for p in rest:
+            self.known[p] = np.array(self.of.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
 
 
 def word_tokens(path: str) -> WordTokens:
