@@ -183,14 +183,33 @@ def resample_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.resampled(px, px, "nir", (0.75, 0, 0, 0, 0.75, 0)).select(*[F.col(c).cast("long").alias(c) for c in ("row", "col")], *r("nir"))
 
 
+GLCM = f"""{PX}, sm AS (SELECT "row" // 2 AS r, col // 2 AS c, nir FROM px WHERE "row" % 2 = 0 AND col % 2 = 0), q AS (SELECT quantile_cont(nir, 0.01) AS lo, quantile_cont(nir, 0.99) AS hi FROM sm),
+lv AS (SELECT r, c, CAST(CASE WHEN nir IS NULL THEN 0 ELSE round_even(least(greatest((nir - lo) / (hi - lo), 0.0), 1.0) * 15, 0) END AS BIGINT) AS v FROM sm, q), ext AS (SELECT max(r) + 1 AS h, max(c) + 1 AS w FROM lv),
+wn AS (SELECT a.s AS sr, b.s AS sc FROM (SELECT unnest(range(0, (SELECT h FROM ext), 2)) AS s) a, (SELECT unnest(range(0, (SELECT w FROM ext), 2)) AS s) b, ext WHERE a.s + 5 <= h AND b.s + 5 <= w),
+pr AS (SELECT sr, sc, k, x.v AS i, y.v AS j FROM wn JOIN lv x ON x.r >= sr AND x.r < sr + 5 AND x.c >= sc AND x.c < sc + 5 CROSS JOIN (VALUES (0, 0, 1), (1, -1, 1), (2, -1, 0), (3, -1, -1)) o(k, dr, dc) JOIN lv y ON y.r = x.r + dr AND y.c = x.c + dc AND y.r >= sr AND y.c < sc + 5 AND y.c >= sc),
+mt AS (SELECT sr, sc, avg(con) AS contrast, avg(hom) AS homogeneity, avg(dis) AS dissimilarity FROM (SELECT sr, sc, k, avg((i - j) * (i - j)) AS con, avg(CAST(1 AS DOUBLE) / (1 + (i - j) * (i - j))) AS hom, avg(abs(i - j)) AS dis FROM pr GROUP BY 1, 2, 3) GROUP BY 1, 2),
+ce AS (SELECT sr, sc, k, i, j, CAST(count(*) AS DOUBLE) AS m FROM (SELECT sr, sc, k, i, j FROM pr UNION ALL SELECT sr, sc, k, j, i FROM pr) GROUP BY 1, 2, 3, 4, 5),
+en AS (SELECT sr, sc, -sum(p * log2(p)) AS entropy FROM (SELECT sr, sc, m / sum(m) OVER (PARTITION BY sr, sc, k) / 4 AS p FROM ce) GROUP BY 1, 2),
+ax AS (SELECT max(sr) * 2 + 4 AS tr, max(sc) * 2 + 4 AS tc FROM wn), pl AS (SELECT "row", col, 4 + 4 * greatest(ceil(("row" - 4) / 4.0 - 0.5), 0) AS lr, 4 + 4 * greatest(ceil((col - 4) / 4.0 - 0.5), 0) AS lc FROM px)"""
+
+
+@query(f"""WITH {GLCM} SELECT CAST("row" AS BIGINT) AS "row", CAST(col AS BIGINT) AS col, round(contrast, 7) + 0.0 AS contrast, round(homogeneity, 7) + 0.0 AS homogeneity, round(dissimilarity, 7) + 0.0 AS dissimilarity, round(entropy, 7) + 0.0 AS entropy
+FROM pl, ax, mt JOIN en ON en.sr = mt.sr AND en.sc = mt.sc WHERE (mt.sr + 2) * 2 = least(lr, tr) AND (mt.sc + 2) * 2 = least(lc, tc)""")
 def glcm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texture by co-occurrence; held against a loop over windows in the tests."""
+    """Texture by co-occurrence in windows of 5, brought back to every pixel."""
     px = pixels(spark, sf_dir)
-    return raster.spread(px, raster.glcm(px, [], "nir", 5), [], raster.GLCM)
+    return raster.spread(px, raster.glcm(px, [], "nir", 5), [], raster.GLCM).select(*[F.col(c).cast("long").alias(c) for c in ("row", "col")], *r(*raster.GLCM, n=7))
 
 
-def pca_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.first_component(pixels(spark, sf_dir)).select("row", "col", "pc1")
+# The covariance matrix squared over and over (and brought to trace 1) becomes the product of its first eigenvector with itself.
+BANDS4 = ("blue", "green", "red", "nir")
+CELLS = [(i, j) for i in range(4) for j in range(4)]
+PCA = f"""{PX}, st AS (SELECT {", ".join(f"avg({b}) AS m{i}, stddev_pop({b}) AS s{i}" for i, b in enumerate(BANDS4))}, {", ".join(f"covar_samp({BANDS4[i]}, {BANDS4[j]}) AS c{i}{j}" for i, j in CELLS)} FROM px WHERE nir IS NOT NULL),
+sq AS (SELECT 0 AS k, {", ".join(f"c{i}{j} / s{i} / s{j} AS a{i}{j}" for i, j in CELLS)} FROM st UNION ALL
+  SELECT k + 1, {", ".join(f"b{i}{j} / (b00 + b11 + b22 + b33)" for i, j in CELLS)} FROM (SELECT k, {", ".join(" + ".join(f"a{i}{n} * a{n}{j}" for n in range(4)) + f" AS b{i}{j}" for i, j in CELLS)} FROM sq WHERE k < 30)),
+v AS (SELECT {", ".join(f"a{i}0 / sqrt(a00) * sign(a00 + a10 + a20 + a30) AS v{i}" for i in range(4))} FROM sq WHERE k = 30)"""
 
 
-QUERIES |= {"glcm": glcm, "pca_first": pca_first}
+@query(f'WITH RECURSIVE {PCA} SELECT CAST("row" AS BIGINT) AS "row", CAST(col AS BIGINT) AS col, round({" + ".join(f"({b} - m{i}) / s{i} * v{i}" for i, b in enumerate(BANDS4))}, 5) + 0.0 AS pc1 FROM px, st, v')
+def pca_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.first_component(pixels(spark, sf_dir)).select(*[F.col(c).cast("long").alias(c) for c in ("row", "col")], *r("pc1", n=5))
