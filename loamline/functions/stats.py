@@ -2,7 +2,8 @@
 
 Order statistics are exact and bounded at any size of a group. Quantiles: a sketch of each group (percentile_approx) brackets the places asked for, rows below a
 bracket are only counted, and those inside, some ten-thousandths of the group, are sorted by distinct value. Ranks: rows are counted by distinct value, ranged over partitions
-and summed there; a row for each group and partition carries the sums on. No task holds a group's values.
+and summed there; a row for each group and partition carries the sums on. No task holds a group's values. Tables of up to BOUND rows, which a task can hold, are
+planned without those steps; the results are the same.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import unused, written
+from ..session import dropped, unused, written
 from .nulls import yes
 
 
 #: Accuracy of the sketches, and how far from the place asked for the brackets lie: their ranks are off by at most a 1 / ACCURACY of the rows. Groups of up to
 #: SMALL values are bracketed whole; in larger ones the margin is ten places at least.
 ACCURACY, MARGIN, SMALL = 5000, 2.5, 20_000
+#: Rows that one task may sort or hold as an aggregate's distinct values: about 100 MB.
+BOUND = 1_000_000
 
 
 def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
@@ -34,6 +37,10 @@ def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, fl
     values = [F.struct(F.lit(i).alias("v"), expressions[e].cast("double").alias("x")) for i, e in enumerate(different)]
     long = df.select(*[F.col(k).alias(g) for k, g in zip(keys, group, strict=True)], F.explode(F.array(*values)).alias("e")).select(*group, "e.*")
     long = written(long.filter("x is not null and not isnan(x)").dropna(subset=group), "values", "zstd") if group else written(long.filter("x is not null and not isnan(x)"), "values", "zstd")
+    if long.count() <= BOUND:  # of a table just written: its files' footers tell
+        by_name = [F.percentile(F.when(F.col("v") == i, F.col("x")), F.lit(float(wanted[n][1]))).alias(n) for i, e in enumerate(different) for n in different[e]]
+        out = long.groupBy(*group).agg(*by_name)
+        return out.select(*[F.col(g).alias(k) for k, g in zip(keys, group, strict=True)], *wanted)
     places = sorted({q for _, q in wanted.values()})
     ends = [min(1.0, max(0.0, q + side * MARGIN / ACCURACY)) for q in places for side in (-1, 1)]
     by = [*group, "v"]
@@ -67,8 +74,12 @@ def running(counts: DataFrame, keys: list[str], order: list[Column], sums: dict[
     free = lambda name: unused(name, counts)
     part, at, other, names = free("_part"), [free(f"_at{i}") for i in range(len(order))], free("_other"), [free(f"_key{i}") for i in range(len(keys))]
     passed = {n: free(f"_passed_{n}") for n in sums}
-    ranged = counts.withColumns(dict(zip(at, order, strict=True))).repartitionByRange(*keys, *at)
-    held = written(ranged.withColumn(part, F.spark_partition_id()), "ranged")
+    once = written(counts.withColumns(dict(zip(at, order, strict=True))), "counts")
+    if once.count() <= BOUND:
+        above = (W.partitionBy(*keys) if keys else W).orderBy(*at).rowsBetween(W.unboundedPreceding, -1)
+        return once.select(*counts.columns, *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(n) for n, c in sums.items()])
+    held = written(once.repartitionByRange(*keys, *at).withColumn(part, F.spark_partition_id()), "ranged")
+    dropped(once)
     inside = W.partitionBy(part, *keys).orderBy(*at).rowsBetween(W.unboundedPreceding, -1)
     before = (W.partitionBy(*keys) if keys else W).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
     totals = held.groupBy(part, *keys).agg(*[F.sum(c).alias(passed[n]) for n, c in sums.items()])

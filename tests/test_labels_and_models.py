@@ -171,8 +171,10 @@ def test_groups_stay_in_one_fold(spark):
     assert out.groupBy("fold").agg(F.count_distinct("y").alias("n")).filter("n = 2").count() == 4
 
 
-def test_quantiles_are_exact_at_any_size(spark):
+@pytest.mark.parametrize("bound", [0, stats.BOUND])
+def test_quantiles_are_exact_at_any_size(spark, monkeypatch, bound):
     """Far values, heavy ties, small and large groups, missing values and keys: against NumPy's linear quantiles."""
+    monkeypatch.setattr(stats, "BOUND", bound)
     rng = np.random.default_rng(3)
     parts = {"wide": np.exp(rng.normal(0, 8, 60_000)), "ties": rng.integers(0, 4, 40_000).astype(float), "one": np.array([7.0]), "two": np.array([1.0, 2.0]), "same": np.full(500, 3.0)}
     rows = [(k, float(v), -float(v)) for k, vs in parts.items() for v in vs] + [(None, 1.0, 1.0), ("none", None, None), ("two", None, None)]
@@ -191,7 +193,9 @@ def test_quantiles_are_exact_at_any_size(spark):
     assert np.isclose(every, np.quantile([r[1] for r in rows if r[1] is not None], 0.75), rtol=1e-12)
 
 
-def test_ranks_and_running_sums_over_partitions(spark):
+@pytest.mark.parametrize("bound", [0, stats.BOUND])
+def test_ranks_and_running_sums_over_partitions(spark, monkeypatch, bound):
+    monkeypatch.setattr(stats, "BOUND", bound)
     rng = np.random.default_rng(4)
     rows = [(k, float(v), i) for i, (k, v) in enumerate(zip(rng.choice(["hot", "hot", "b", None], 30_000), np.round(rng.normal(0, 100, 30_000), 1)))] + [("b", None, -1)]
     df = spark.createDataFrame(rows, "k string, v double, _part int").repartition(5)
@@ -209,7 +213,9 @@ def test_ranks_and_running_sums_over_partitions(spark):
     assert [r.p for r in got if r.v is None] == [None]
 
 
-def test_spearman_against_ranks(spark):
+@pytest.mark.parametrize("bound", [0, stats.BOUND])
+def test_spearman_against_ranks(spark, monkeypatch, bound):
+    monkeypatch.setattr(stats, "BOUND", bound)
     rng = np.random.default_rng(5)
     a = rng.integers(0, 50, 5000).astype(float)
     b, c = a + rng.normal(0, 20, 5000), -np.round(a / 7)
