@@ -137,28 +137,33 @@ def overview_factors(width: int, height: int, least: int = 256) -> list[int]:
     return out
 
 
-def first_component(px: DataFrame, bands: list[str] = BANDS) -> DataFrame:
-    """px with pc1, the first principal component of the standardised bands; NULL with fewer than ten whole rows. The sign is such that the loadings' sum is not negative.
+def first_component(px: DataFrame, bands: list[str] = BANDS, keys: list[str] | None = None) -> DataFrame:
+    """px with pc1, the first principal component of the standardised bands (of each group); NULL with fewer than ten whole rows. The sign is such that the loadings' sum is not negative.
 
-    One aggregation gives means, deviations and covariances; only that row comes to the driver.
+    One aggregation gives means, deviations and covariances; only its rows, one a group, come to the driver, and go back as loadings.
     """
+    keys = keys or []
     whole = F.lit(True)
     for b in bands:
         whole = whole & F.col(b).isNotNull()
-    held = px.filter(whole)
     pairs = [(i, j) for i in range(len(bands)) for j in range(i, len(bands))]
-    got = held.agg(F.count("*").alias("n"), *[F.avg(b).alias(f"m{i}") for i, b in enumerate(bands)], *[F.stddev_pop(b).alias(f"s{i}") for i, b in enumerate(bands)], *[F.covar_samp(bands[i], bands[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    if got["n"] < 10:
-        return px.withColumn("pc1", F.lit(None).cast("double"))
-    scale = np.array([got[f"s{i}"] or 1.0 for i in range(len(bands))])
-    cov = np.zeros((len(bands), len(bands)))
-    for i, j in pairs:
-        cov[i, j] = cov[j, i] = got[f"c{i}_{j}"] / scale[i] / scale[j]
-    values, vectors = np.linalg.eigh(cov)
-    v = vectors[:, int(values.argmax())]
-    v = v if v.sum() >= 0 else -v
-    dot = total_of([(F.col(b) - F.lit(float(got[f"m{i}"]))) / F.lit(float(scale[i])) * F.lit(float(v[i])) for i, b in enumerate(bands)])
-    return px.withColumn("pc1", F.when(whole, dot))
+    held = px.filter(whole).groupBy(*keys).agg(F.count("*").alias("n"), *[F.avg(b).alias(f"m{i}") for i, b in enumerate(bands)], *[F.stddev_pop(b).alias(f"s{i}") for i, b in enumerate(bands)], *[F.covar_samp(bands[i], bands[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    rows = []
+    for got in held.filter("n >= 10").collect():
+        scale = np.array([got[f"s{i}"] or 1.0 for i in range(len(bands))])
+        cov = np.zeros((len(bands), len(bands)))
+        for i, j in pairs:
+            cov[i, j] = cov[j, i] = got[f"c{i}_{j}"] / scale[i] / scale[j]
+        values, vectors = np.linalg.eigh(cov)
+        v = vectors[:, int(values.argmax())]
+        v = v if v.sum() >= 0 else -v
+        rows.append((*[got[k] for k in keys], [float(got[f"m{i}"]) for i in range(len(bands))], [float(x) for x in scale], [float(x) for x in v]))
+    kinds = {f.name: f.dataType for f in px.schema}
+    numbers = T.ArrayType(T.DoubleType())
+    table = px.sparkSession.createDataFrame(rows, T.StructType([T.StructField(k, kinds[k]) for k in keys] + [T.StructField(n, numbers) for n in ("_m", "_s", "_v")]))
+    at = lambda c, i: F.get(c, F.lit(i))
+    dot = total_of([(F.col(b) - at("_m", i)) / at("_s", i) * at("_v", i) for i, b in enumerate(bands)])
+    return joined_on(px, table, keys).withColumn("pc1", F.when(whole, dot)).drop("_m", "_s", "_v")
 
 
 # ---------------------------------------------------------------- neighbourhoods

@@ -154,7 +154,7 @@ def in_cells_of(shapes: DataFrame, grids: DataFrame) -> DataFrame:
 def with_textures(px: DataFrame, keys: list[str], levels: int, sample: int, stride: int) -> tuple[DataFrame, list[str]]:
     """px with the local and co-occurrence layers of all sources and windows."""
     names = []
-    held = raster.first_component(px) if "pc1" not in px.columns else px
+    held = written(raster.first_component(px, keys=keys) if "pc1" not in px.columns else px, "composites")
     out = held
     for source in SOURCES:
         for w in WINDOWS:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamline.__main__ import main
-from loamline.operators import geometry
+from loamline.operators import geometry, raster
 from loamline.plans import runs
 from loamline.sources import files, geotiff, vectors
 
@@ -203,3 +203,35 @@ def test_scenes_in_another_projection(spark):
     got = runs.on_grids(px, info, grids, ["v"]).collect()
     want = {c: (120.0 + (c + 0.5) * 0.01) / 180 * 20037508.342789244 for c in range(10)}
     assert len(got) == 80 and all(abs(r.v - want[r.col]) < 1e-2 for r in got)
+
+
+def test_textures_of_a_run(spark, ran, tmp_path):
+    root, _ = ran
+    one = tmp_path / "data"
+    folder = next(f for f in SCENES if "20220512" in f)
+    (one / folder).parent.mkdir(parents=True)
+    import shutil
+
+    shutil.copytree(root / "data" / folder, one / folder)
+    report = runs.run(spark, str(one), str(tmp_path / "out"))
+    names = [p.removeprefix("textures/Амга_2022_").removesuffix(".tif") for p in report["outputs"] if p.startswith("textures/")]
+    assert len(names) == 36 and {"nir_local_std_w7", "pc1_glcm_entropy_w5", "red_local_var_w5"} <= set(names)
+    nir = bands_of(0.0)[3].astype(float)
+    std = geotiff.decode((tmp_path / "out/textures/Амга_2022_nir_local_std_w5.tif").read_bytes()).bands[0]
+    assert std[10, 10] == pytest.approx(nir[8:13, 8:13].std(), abs=1e-5)
+    assert all((tmp_path / "out" / p).exists() for p in report["outputs"]) and not any(p.startswith("analytics/") for p in report["outputs"])
+
+
+def test_components_of_groups(spark):
+    rng = np.random.default_rng(7)
+    rows = [(k, i, *map(float, v)) for k, scale in (("a", 1.0), ("b", 5.0)) for i, v in enumerate(rng.normal(size=(60, 4)) * scale + rng.normal(size=(60, 1)) * 3)]
+    rows += [("few", i, 1.0, 2.0, 3.0, float(i)) for i in range(5)] + [("a", 99, None, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, i int, blue double, green double, red double, nir double")
+    got = {(r.k, r.i): r.pc1 for r in raster.first_component(df, keys=["k"]).collect()}
+    assert len(got) == len(rows) and got["few", 1] is None and got["a", 99] is None
+    for k in "ab":
+        x = np.array([r[2:] for r in rows if r[0] == k and r[2] is not None])
+        z = (x - x.mean(axis=0)) / x.std(axis=0)
+        values, vectors = np.linalg.eigh(np.cov(z.T))
+        v = vectors[:, -1] * np.sign(vectors[:, -1].sum())
+        assert np.allclose([got[k, i] for i in range(60)], z @ v)
