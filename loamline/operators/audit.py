@@ -43,9 +43,9 @@ def issue(df: DataFrame, severity: str, code: Column, path: Column, message: str
 
 
 def value_issues(files: DataFrame, table: DataFrame) -> DataFrame:
-    """Violations of the value rules by raster inventory rows (name, min, max, unique_preview)."""
+    """Violations of the value rules by raster inventory rows (name, min, max, unique_preview); missing values break no rule."""
     met = files.join(F.broadcast(table), F.rlike(F.col("name"), F.col("pattern")))  # the rules are a table of fixed length
-    values = F.transform("unique_preview", lambda v: v.cast("double"))
+    values = F.transform(F.filter("unique_preview", F.isnotnull), lambda v: v.cast("double"))
     odd = F.size(F.array_except(values, F.array(*[F.lit(x) for x in (0.0, 1.0, 255.0)]))) > 0
     broken = F.when(F.col("code") == "RASTER_NOT_BINARY", odd).otherwise(F.coalesce(F.col("min") < F.col("low"), F.lit(False)) | F.coalesce(F.col("max") > F.col("high"), F.lit(False)))
     return issue(met.filter(broken), "WARNING", F.col("code"), F.col("name"), "values break the rule of this layer", min=F.col("min"), max=F.col("max"), pattern=F.col("pattern"))
