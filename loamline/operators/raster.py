@@ -115,9 +115,12 @@ def quantised(px: DataFrame, keys: list[str], layer: str, levels: int = 16) -> D
 
 
 def colours(px: DataFrame, layer: str, palette: DataFrame, n: int, low: float, high: float) -> DataFrame:
-    """px with r, g, b and alpha by a palette (idx, r, g, b) of n colours; nodata is transparent black."""
-    unit = F.least(F.greatest((F.col(layer) - low) / (high - low), F.lit(0.0)), F.lit(1.0))
-    held = px.withColumn("idx", F.when(F.col(layer).isNotNull(), F.rint(unit * (n - 1)).cast("int")))
+    """px with r, g, b and alpha by a palette (idx, r, g, b) of n colours; nodata is transparent black. A layer of floats is scaled in floats, any other in doubles."""
+    kind = "float" if dict(px.dtypes)[layer] == "float" else "double"
+    number = lambda v: F.lit(float(v)).cast(kind)
+    # Spark divides floats as doubles; cast back, that is the division of floats.
+    unit = F.least(F.greatest(((F.col(layer) - number(low)) / number(high - low)).cast(kind), number(0)), number(1))
+    held = px.withColumn("idx", F.when(F.col(layer).isNotNull(), F.rint(unit * number(n - 1)).cast("int")))
     out = held.join(F.broadcast(palette), "idx", "left")  # a palette has n rows
     return out.withColumns({c: F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in "rgb"} | {"alpha": F.when(F.col("idx").isNotNull(), 255).otherwise(0)}).drop("idx")
 

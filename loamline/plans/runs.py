@@ -385,7 +385,7 @@ def coloured(spark: SparkSession, root: str, palette: str, out: str, pattern: st
     good = info.filter("error is null")
     t = lambda i: F.get("transform", F.lit(i))
     about = good.select("path", F.regexp_extract("path", r"([^/]*)\.[^./]*$", 1).alias("stem"), t(2).alias("x0"), t(5).alias("y0"), t(0).alias("dx"), (-t(4)).alias("dy"), F.coalesce("epsg", F.lit(geometry.GEOGRAPHIC)).alias("epsg"), "height", "width")
-    px = geotiff.read_pixels(content.join(good.select("path"), "path", "left_semi"), 1, ["v"]).join(about, "path")
+    px = geotiff.read_pixels(content.join(good.select("path"), "path", "left_semi"), 1, ["v"]).join(about, "path").withColumn("v", F.col("v").cast("float"))
     high = high if high > low else low + 1e-6
     rgb = raster.colours(px, "v", table, n, low, high)
     most = about.agg(F.max("height"), F.max("width")).first()

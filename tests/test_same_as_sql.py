@@ -1,6 +1,7 @@
 """Queries on small tables of odd values against their SQL."""
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -31,3 +32,14 @@ def test_values_a_rounding_error_beyond_a_range(both):
     got, want = both("range_rules", documents={"doc_id": pa.array([d for d, _ in docs], pa.int64()), "n_chars": pa.array([v for _, v in docs], pa.int64())})
     assert got == want
     assert (float(8 * 230), "RASTER_RANGE") in [(r[1], r[0]) for r in got[1]]
+
+
+def test_colours_of_floats_beside_a_step_of_the_palette(both):
+    """A raster of floats is scaled in floats: beside half steps, doubles round to the other colour."""
+    steps = np.float32(-0.3 + 0.6 * (np.arange(10) + 0.5) / 10)
+    bits = np.arange(-24, 24)[:, None] + steps.view(np.int32)[None, :]
+    values = bits.astype(np.int32).view(np.float32).ravel()
+    vectors = np.resize(values, (8, 64))  # 16 columns of four bands; nir is the fourth
+    spread = [np.repeat(values[i : i + 16], 4).tolist() for i in range(0, len(values), 16)]
+    got, want = both("colour_raster", embeddings={"vec_id": pa.array(range(8 + len(spread)), pa.int64()), "label": pa.array([0] * (8 + len(spread)), pa.int32()), "embedding": pa.array([*vectors.tolist(), *spread], pa.list_(pa.float32()))})
+    assert got == want
